@@ -60,7 +60,7 @@ def _sessionize_sql(part: str | None, window: float, cap: int, min_n: int, threa
     """Single-window reference form of the greedy grouping, as CTEs s1..s4."""
     p = f"PARTITION BY {part} " if part else ""
     thr = " OR (thread_ts IS DISTINCT FROM pthr)" if thread else ""
-    key = f"{part} || ':' || " if part else ""
+    key = f"{part}, " if part else ""
     return f"""
 s1 AS (SELECT *, row_number() OVER w AS rn, lag(ts_num) OVER w AS pts, lag(thread_ts) OVER w AS pthr
        FROM {src} WINDOW w AS ({p}ORDER BY {order})),
@@ -68,7 +68,7 @@ s2 AS (SELECT *, CASE WHEN rn = 1 OR ts_num - pts >= {float(window)}{thr} THEN r
 s3 AS (SELECT *, max(brk) OVER ({p}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_start
        FROM s2),
 s4 AS (SELECT *, (rn - run_start) // {max(1, cap)} AS chunk FROM s3),
-s5 AS (SELECT *, {key}CAST(run_start AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS conv_id,
+s5 AS (SELECT *, concat_ws(':', {key}CAST(run_start AS VARCHAR), CAST(chunk AS VARCHAR)) AS conv_id,
               (rn - run_start) - chunk * {max(1, cap)} + 1 AS conv_pos,
               count(*) OVER (PARTITION BY {part + ', ' if part else ''}run_start, chunk) AS conv_size FROM s4),
 s6 AS (SELECT * FROM s5 WHERE conv_size >= {min_n})"""
@@ -109,6 +109,9 @@ def q_sessionize_global(spark: SparkSession, sf: str) -> DataFrame:
     return _conv_summary(out)
 
 
+from threadloom.plans.catalogue_more import *  # noqa: E402,F401,F403  (registers the rest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
