@@ -102,7 +102,7 @@ def clean_text(text, names_map: Column | None = None) -> Column:
 def parse_ts(ts) -> Column:
     """Numeric ts string -> double; NULL when not a finite decimal number."""
     t = strip_ws(_c(ts))
-    return F.when(t.rlike(TS_RE), F.try_cast(t, "double"))
+    return F.when(t.rlike(TS_RE), t.try_cast("double"))
 
 
 def epoch_seconds(ts) -> Column:
