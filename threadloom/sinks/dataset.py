@@ -73,7 +73,10 @@ def sample_log_text(examples: DataFrame, n: int = SAMPLE_SIZE, order: str = "spl
 
 def write_sample_log(examples: DataFrame, path: str) -> None:
     """K2: the sample log as a single text file (five rows at most)."""
-    sample_log_text(examples).coalesce(1).write.mode("overwrite").option("lineSep", "").text(path)
+    body = sample_log_text(examples)
+    # the text writer ends the (single) row with a newline: drop the body's last one
+    body = body.select(F.expr("substr(value, 1, length(value) - 1)").alias("value"))
+    body.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_card(examples: DataFrame, path: str) -> dict:
