@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import MENTION_RE, UNKNOWN_USER, clean_rest, rejoin_mentions, replace_mentions
 
 # Directory sizes up to which the map / broadcast forms are used.
-MAP_MAX_USERS = 500_000
+MAP_MAX_USERS = 2_000
 BROADCAST_MAX_USERS = 2_000_000
 
 
@@ -28,8 +28,13 @@ def dedup_users(users: DataFrame) -> DataFrame:
 
 
 def _count(users: DataFrame) -> int:
-    # the directory itself (one small scan), not the messages
-    return users.count()
+    """Row count of the directory itself (one small scan, not the messages),
+    remembered on the DataFrame object so one query counts it once."""
+    n = getattr(users, "_threadloom_rows", None)
+    if n is None:
+        n = users.count()
+        users._threadloom_rows = n
+    return n
 
 
 def resolve_author(df: DataFrame, users: DataFrame, user_col: str = "user",
@@ -56,27 +61,38 @@ def resolve_mentions(df: DataFrame, users: DataFrame, text: str = "text", out: s
                      key: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
     """Every ``<@ID>`` in ``text`` -> ``@name``.
 
-    ``map``: the directory becomes one map value shipped with the query.
-    ``join``: mentions are exploded, joined to the directory (shuffle join)
-    and regrouped per message by ``key`` (a unique row key), then joined back.
-    ``auto`` picks ``map`` when the directory has at most ``MAP_MAX_USERS``.
+    ``join`` (default): mentions are exploded with their position (messages
+    without one keep a single row), looked up with an equi-join on the user id
+    (broadcast when the directory passed the size check, shuffle join beyond
+    it) and regrouped per message by ``key`` (a unique row key); the rest of
+    the row travels with the regroup, so this is one shuffle of the messages.
+    ``map``: the directory becomes one map value attached to every row - a
+    Spark map lookup scans its keys, so this is only for directories of a few
+    hundred entries (``MAP_MAX_USERS``).
     """
     if strategy == "auto":
-        strategy = "map" if _count(users) <= MAP_MAX_USERS else "join"
+        strategy = "join" if key else "map"
     if strategy == "map":
+        if _count(users) > MAP_MAX_USERS:
+            raise ValueError("directory too large for the map strategy; pass a row key for the join strategy")
         # bound to a column first: subqueries may not appear inside lambdas
         x = df.withColumn("_names", names_map(users))
         return x.withColumn(out, replace_mentions(F.col(text), F.col("_names"))).drop("_names")
-    if not key:
-        raise ValueError("the join strategy needs a unique row key")
     key = list(key)
+    rest = [c for c in df.columns if c not in key]
     d = dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
-    ex = (df.select(*key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(MENTION_RE), 1)).alias("_i", "_mid"))
-            .join(d, "_mid", "left")
-            .select(*key, "_i", F.concat(F.lit("@"), F.coalesce("_mname", "_mid")).alias("_n")))
-    per_msg = ex.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_i", "_n"))).alias("_ns"))
-    j = df.join(per_msg, key, "left")
-    return j.withColumn(out, rejoin_mentions(F.col(text), F.col("_ns")["_n"])).drop("_ns")
+    if _count(users) <= BROADCAST_MAX_USERS:
+        d = F.broadcast(d)
+    ex = df.select(*key, F.struct(*rest).alias("_row"),
+                   F.posexplode_outer(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(MENTION_RE), 1))
+                   .alias("_i", "_mid"))
+    ex = ex.join(d, "_mid", "left").select(
+        *key, "_row", "_i", F.concat(F.lit("@"), F.coalesce("_mname", "_mid")).alias("_n"))
+    g = ex.groupBy(*key).agg(F.first("_row").alias("_row"),
+                            F.sort_array(F.collect_list(F.when(F.col("_i").isNotNull(), F.struct("_i", "_n"))))
+                            .alias("_ns"))
+    g = g.select(*key, *[F.col("_row")[c].alias(c) for c in rest], "_ns")
+    return g.withColumn(out, rejoin_mentions(F.col(text), F.col("_ns")["_n"])).drop("_ns")
 
 
 def clean_messages(df: DataFrame, users: DataFrame, text: str = "text", out: str = "content",

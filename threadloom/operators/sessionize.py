@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600.0
-_INTERNAL = {"_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
+_INTERNAL = {"_sbk", *[f"_sk{i}" for i in range(16)], "_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
              "_off", "_tot", "_fbrk", "_cmax", "_cmin", "_prev_last", "_run_len"}
 
 
@@ -72,69 +72,70 @@ def sessionize(
     keys = list(keys)
     order_cols = [ts] + list(order)
     cap = max(1, int(max_messages))
+    win = F.lit(float(window))
     thr = F.col(thread) if thread else F.lit(None).cast("string")
+    c = F.col
 
-    x = df.withColumn("_bk", F.floor(F.col(ts) / F.lit(float(bucket_seconds))).cast("long"))
-    x = x.withColumn("_thr", thr)
     wl = Window.partitionBy(*keys, "_bk").orderBy(*order_cols)
-    x = (x.withColumn("_lrn", F.row_number().over(wl))
-          .withColumn("_lprev_ts", F.lag(ts).over(wl))
-          .withColumn("_lprev_thr", F.lag("_thr").over(wl)))
+    x = df.withColumns({"_bk": F.floor(c(ts) / F.lit(float(bucket_seconds))).cast("long"), "_thr": thr})
+    x = x.withColumns({"_lrn": F.row_number().over(wl), "_lprev_ts": F.lag(ts).over(wl),
+                       "_lprev_thr": F.lag("_thr").over(wl)})
     # a break inside the bucket (rows 2..n); row 1 is decided by the carry
-    lbrk = (F.col("_lrn") > 1) & (
-        (F.col(ts) - F.col("_lprev_ts") >= F.lit(float(window)))
-        | ~F.col("_thr").eqNullSafe(F.col("_lprev_thr")))
-    x = x.withColumn("_lbrk", F.when(lbrk, F.col("_lrn")))
-    x = (x.withColumn("_lmax", F.max("_lbrk").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("_lnext", F.min("_lbrk").over(wl.rowsBetween(1, Window.unboundedFollowing))))
+    lbrk = (c("_lrn") > 1) & ((c(ts) - c("_lprev_ts") >= win) | ~c("_thr").eqNullSafe(c("_lprev_thr")))
+    x = x.withColumn("_lbrk", F.when(lbrk, c("_lrn")))
+    x = x.withColumns({
+        "_lmax": F.max("_lbrk").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_lnext": F.min("_lbrk").over(wl.rowsBetween(1, Window.unboundedFollowing))})
 
     # one row per (key, bucket); x is already hash-partitioned on these columns
-    row = F.struct(*[F.col(c) for c in order_cols], F.col("_thr").alias("thr"))
+    row = F.struct(*[c(k) for k in order_cols], c("_thr").alias("thr"))
     s = x.groupBy(*keys, "_bk").agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.min(row).alias("_first"),
-        F.max(row).alias("_last"),
-        F.max("_lbrk").alias("_bmax_l"),
-        F.min("_lbrk").alias("_bmin_l"),
-    )
+        F.count(F.lit(1)).alias("_cnt"), F.min(row).alias("_first"), F.max(row).alias("_last"),
+        F.max("_lbrk").alias("_bmax_l"), F.min("_lbrk").alias("_bmin_l"))
     wk = Window.partitionBy(*keys).orderBy("_bk") if keys else Window.orderBy("_bk")
     wk_all = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    s = (s.withColumn("_off", F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
-          .withColumn("_tot", F.sum("_cnt").over(wk_all).cast("long"))
-          .withColumn("_prev_last", F.lag("_last").over(wk)))
-    fbrk = (F.col("_prev_last").isNull()
-            | (F.col("_first")[ts] - F.col("_prev_last")[ts] >= F.lit(float(window)))
-            | ~F.col("_first")["thr"].eqNullSafe(F.col("_prev_last")["thr"]))
+    s = s.withColumns({
+        "_off": F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"),
+        "_tot": F.sum("_cnt").over(wk_all).cast("long"),
+        "_prev_last": F.lag("_last").over(wk)})
+    fbrk = (c("_prev_last").isNull() | (c("_first")[ts] - c("_prev_last")[ts] >= win)
+            | ~c("_first")["thr"].eqNullSafe(c("_prev_last")["thr"]))
     s = s.withColumn("_fbrk", fbrk)
-    s = (s.withColumn("_bmax", F.coalesce(F.col("_off") + F.col("_bmax_l"), F.when(F.col("_fbrk"), F.col("_off") + 1)))
-          .withColumn("_bmin", F.coalesce(F.when(F.col("_fbrk"), F.col("_off") + 1), F.col("_off") + F.col("_bmin_l"))))
-    s = (s.withColumn("_cmax", F.max("_bmax").over(wk.rowsBetween(Window.unboundedPreceding, -1)))
-          .withColumn("_cmin", F.min("_bmin").over(wk.rowsBetween(1, Window.unboundedFollowing))))
-    s = s.select(*keys, "_bk", "_off", "_tot", "_fbrk", "_cmax", "_cmin", "_prev_last")
-
-    j = x.join(s, _key_eq(x, s, keys + ["_bk"]), "inner").select(
-        x["*"], s["_off"], s["_tot"], s["_fbrk"], s["_cmax"], s["_cmin"], s["_prev_last"])
+    s = s.withColumns({
+        "_bmax": F.coalesce(c("_off") + c("_bmax_l"), F.when(c("_fbrk"), c("_off") + 1)),
+        "_bmin": F.coalesce(F.when(c("_fbrk"), c("_off") + 1), c("_off") + c("_bmin_l"))})
+    # summary keys renamed: s derives from x, and the join must not be ambiguous
+    sk = [f"_sk{i}" for i in range(len(keys))] + ["_sbk"]
+    s = s.select(*[c(k).alias(a) for k, a in zip(keys + ["_bk"], sk)], "_off", "_tot", "_fbrk", "_prev_last",
+                 F.max("_bmax").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cmax"),
+                 F.min("_bmin").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cmin"))
+    cond = None
+    for k, a in zip(keys + ["_bk"], sk):
+        e = x[k].eqNullSafe(s[a])
+        cond = e if cond is None else cond & e
+    j = x.join(s, cond, "inner")
+    rn = c("_off") + c("_lrn")
+    run_start = F.coalesce(c("_off") + c("_lmax"), F.when(c("_fbrk"), c("_off") + 1), c("_cmax"))
+    run_end = F.coalesce(F.coalesce(c("_off") + c("_lnext"), c("_cmin")) - 1, c("_tot"))
+    chunk = F.floor((rn - run_start) / F.lit(cap))
+    first = c("_lrn") == 1
+    extra = {}
     if keep_prev:
-        first = F.col("_lrn") == 1
-        j = (j.withColumn("has_prev", ~first | F.col("_prev_last").isNotNull())
-              .withColumn("prev_ts", F.when(first, F.col("_prev_last")[ts]).otherwise(F.col("_lprev_ts")))
-              .withColumn("prev_thread", F.when(first, F.col("_prev_last")["thr"]).otherwise(F.col("_lprev_thr"))))
-    rn = F.col("_off") + F.col("_lrn")
-    run_start = F.coalesce(F.col("_off") + F.col("_lmax"),
-                           F.when(F.col("_fbrk"), F.col("_off") + 1),
-                           F.col("_cmax"))
-    next_brk = F.coalesce(F.col("_off") + F.col("_lnext"), F.col("_cmin"))
-    run_end = F.coalesce(next_brk - 1, F.col("_tot"))
-    j = (j.withColumn("rn", rn.cast("long"))
-          .withColumn("run_start", run_start.cast("long"))
-          .withColumn("_run_len", run_end - F.col("run_start") + 1))
-    j = j.withColumn("chunk", F.floor((F.col("rn") - F.col("run_start")) / F.lit(cap)).cast("long"))
-    j = (j.withColumn("conv_pos", (F.col("rn") - F.col("run_start") - F.col("chunk") * cap + 1).cast("long"))
-          .withColumn("conv_size", F.least(F.lit(cap).cast("long"), F.col("_run_len") - F.col("chunk") * cap).cast("long")))
-    j = j.withColumn("conv_id", F.concat_ws(":", *[F.col(k).cast("string") for k in keys],
-                                            F.col("run_start").cast("string"), F.col("chunk").cast("string")))
-    j = j.filter(F.col("conv_size") >= F.lit(int(min_messages)))
-    return j.drop(*[c for c in j.columns if c in _INTERNAL])
+        extra = {"has_prev": ~first | c("_prev_last").isNotNull(),
+                 "prev_ts": F.when(first, c("_prev_last")[ts]).otherwise(c("_lprev_ts")),
+                 "prev_thread": F.when(first, c("_prev_last")["thr"]).otherwise(c("_lprev_thr"))}
+    out = j.select(
+        x["*"],
+        rn.cast("long").alias("rn"),
+        run_start.cast("long").alias("run_start"),
+        chunk.cast("long").alias("chunk"),
+        (rn - run_start - chunk * cap + 1).cast("long").alias("conv_pos"),
+        F.least(F.lit(cap).cast("long"), run_end - run_start + 1 - chunk * cap).cast("long").alias("conv_size"),
+        F.concat_ws(":", *[x[k].cast("string") for k in keys], run_start.cast("long").cast("string"),
+                    chunk.cast("long").cast("string")).alias("conv_id"),
+        *[v.alias(k) for k, v in extra.items()])
+    out = out.filter(c("conv_size") >= F.lit(int(min_messages)))
+    return out.drop(*[k for k in out.columns if k in _INTERNAL])
 
 
 def break_flags(df: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts_num",

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.session import cut_lineage
+
 HIST_BITS_HEX = 4  # 16 bits -> 65,536 buckets
 
 
@@ -30,9 +32,15 @@ def _n_test(n: Column, fraction: float) -> Column:
 
 
 def split_exact(df: DataFrame, id_col: str = "conv_id", seed: int = 42, fraction: float = 0.1,
-                out: str = "split") -> DataFrame:
-    x = df.withColumn("_h", split_hash_key(id_col, seed))
+                out: str = "split", materialize: bool = True) -> DataFrame:
+    """Exact split.  The threshold needs the whole input before any row can be
+    labelled, so with ``materialize`` the input is first written to the
+    session's checkpoint folder and both passes read it (instead of
+    recomputing the upstream plan once per pass)."""
+    x = df.withColumns({"_h": split_hash_key(id_col, seed)})
     x = x.withColumn("_hb", F.conv(F.substring("_h", 1, HIST_BITS_HEX), 16, 10).cast("int"))
+    if materialize:
+        x = cut_lineage(x)
     hist = x.groupBy("_hb").agg(F.count(F.lit(1)).alias("_c"))
     # <= 65,536 rows: an unpartitioned window over the histogram is fine
     w = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)

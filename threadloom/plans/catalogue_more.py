@@ -152,18 +152,9 @@ def q_author_name(spark: SparkSession, sf: str) -> DataFrame:
 @register("clean_mentions", f"WITH {MSG_VIEW}, {sql_mentions('m', 'event_id', 'text', 'cm')} "
                             "SELECT event_id, txt AS cleaned FROM cm")
 def q_clean_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    m = tables.event_messages(spark, sf)
-    out = authors.resolve_mentions(m, tables.customer_users(spark, sf), text="text", out="cleaned")
-    return out.select("event_id", "cleaned")
-
-
-@register("clean_mentions_join", f"WITH {MSG_VIEW}, {sql_mentions('m', 'event_id', 'text', 'cm')} "
-                                 "SELECT event_id, txt AS cleaned FROM cm")
-def q_clean_mentions_join(spark: SparkSession, sf: str) -> DataFrame:
-    """J2 through the shuffle-join strategy (used for very large directories)."""
     m = tables.event_messages(spark, sf)
     out = authors.resolve_mentions(m, tables.customer_users(spark, sf), text="text", out="cleaned",
-                                   key=["event_id"], strategy="join")
+                                   key=["event_id"])
     return out.select("event_id", "cleaned")
 
 
@@ -201,7 +192,7 @@ def q_clean_whitespace(spark: SparkSession, sf: str) -> DataFrame:
                         f"SELECT event_id, {sql_clean_rest('txt')} AS content FROM cm")
 def q_clean_text(spark: SparkSession, sf: str) -> DataFrame:
     m = tables.event_messages(spark, sf)
-    out = authors.clean_messages(m, tables.customer_users(spark, sf), text="text", out="content")
+    out = authors.clean_messages(m, tables.customer_users(spark, sf), text="text", out="content", key=["event_id"])
     return out.select("event_id", "content")
 
 
@@ -260,7 +251,7 @@ def _grouped_clean(spark: SparkSession, sf: str, nonblank: bool) -> DataFrame:
     m = tables.event_messages(spark, sf)
     m = filters.valid_messages(m, markers=["is_system"]) if nonblank else filters.human_only(m, markers=["is_system"])
     s = sz.sessionize(m, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
-    return authors.clean_messages(s, tables.customer_users(spark, sf), text="text", out="content")
+    return authors.clean_messages(s, tables.customer_users(spark, sf), text="text", out="content", key=["event_id"])
 
 
 def _grouped_clean_sql(src: str) -> str:
@@ -498,7 +489,7 @@ def end_to_end_examples(spark: SparkSession, sf: str, max_length: int = 2048) ->
     users = tables.customer_users(spark, sf)
     v = authors.resolve_author(_valid(spark, sf), users)
     s = sz.sessionize(v, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
-    c = authors.clean_messages(s, users, text="text", out="content")
+    c = authors.clean_messages(s, users, text="text", out="content", key=["event_id"])
     convs = conversations.collect_conversations(c, system_prompt=TRAINING_PROMPT)
     ex = examples.to_examples(convs, octet_proxy, max_length=max_length, min_size=2)
     return split.split_exact(ex, "conv_id", seed=42, fraction=0.1)
@@ -536,7 +527,7 @@ def q_stage_counters(spark: SparkSession, sf: str) -> DataFrame:
     users = tables.customer_users(spark, sf)
     v = _valid(spark, sf)
     s = sz.sessionize(v, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
-    c = authors.clean_messages(s, users, text="text", out="content")
+    c = authors.clean_messages(s, users, text="text", out="content", key=["event_id"])
     convs = conversations.collect_conversations(c, system_prompt=TRAINING_PROMPT)
     allx = examples.to_examples(convs, octet_proxy, max_length=2048, min_size=2, keep_skipped=True)
     ex = split.split_exact(allx.filter(~F.col("skipped")), "conv_id", seed=42, fraction=0.1)

@@ -17,7 +17,17 @@ NBSP = "\u00a0"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fan_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input splits than task slots (a small
+    file stored as one row group) over all slots before the per-row work.  A
+    large input already has at least that many splits and is left alone."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def _s(c) -> F.Column:
