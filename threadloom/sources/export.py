@@ -135,6 +135,14 @@ def read_export(spark: SparkSession, root: str) -> Export:
     raw = _eligible(_path_columns(raw, root, "path"))
     raw = raw.join(winners, "rel_path", "left_semi")
 
+    files, messages, quarantine = decode_files(raw)
+    return Export(read_users(spark, root), read_channels(spark, root), files, messages, quarantine)
+
+
+def decode_files(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S4/S5 on rows ``(path, rel_path, channel, date, depth, value)``: the
+    file table with its status, the exploded messages and the quarantine.
+    Shared by the batch reader and the streaming ingest."""
     arr = F.from_json("value", MESSAGE_SCHEMA)
     reason = (F.when(~F.is_valid_utf8("value"), F.lit("not utf-8"))
                .when(~F.col("value").rlike("^" + JSON_WS + "\\[") | ~F.col("value").rlike("\\]" + JSON_WS + "$"),
@@ -148,16 +156,16 @@ def read_export(spark: SparkSession, root: str) -> Export:
     files = decoded.select("path", "rel_path", "channel", "date", "depth",
                            F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.col("reason")).alias("status"),
                            F.when(F.col("reason").isNull(), F.size("_arr")).otherwise(F.lit(0)).alias("n_messages"))
-    ex = good.select("channel", "date", "path", F.posexplode("_arr").alias("pos", "m"))
+    ex = good.select("channel", "date", "path", "depth", F.posexplode("_arr").alias("pos", "m"))
     m = F.col("m")
     messages = ex.select(
-        "channel", "date", F.col("pos").cast("int").alias("pos"), "path",
+        "channel", "date", F.col("pos").cast("int").alias("pos"), "path", "depth",
         m["user"].alias("user"), m["ts"].alias("ts"), parse_ts(m["ts"]).alias("ts_num"),
         m["thread_ts"].alias("thread_ts"), m["text"].alias("text"),
         F.map_contains_key(m, "text").alias("has_text"),
         F.map_contains_key(m, "subtype").alias("has_subtype"),
         F.map_contains_key(m, "bot_id").alias("has_bot_id"))
-    return Export(read_users(spark, root), read_channels(spark, root), files, messages, quarantine)
+    return files, messages, quarantine
 
 
 def file_report(files: DataFrame) -> DataFrame:
@@ -178,5 +186,15 @@ def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite") -> Non
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_bronze(spark: SparkSession, path: str, latest_file_only: bool = False) -> DataFrame:
+    """The bronze table.  ``latest_file_only`` applies S7 at read time (for a
+    table filled incrementally, where a later file for the same channel and
+    day replaces the earlier one): only rows of the winning file per
+    ``(channel, date)`` are kept, chosen on the distinct (path, depth) list."""
+    b = spark.read.parquet(path)
+    if not latest_file_only:
+        return b
+    files = b.select("channel", "date", "path", "depth").distinct()
+    w = Window.partitionBy("channel", "date").orderBy(F.col("depth").desc(), F.col("path").desc())
+    winners = files.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("path")
+    return b.join(winners, "path", "left_semi")
