@@ -44,3 +44,15 @@ def collect_conversations(df: DataFrame, conv: str = "conv_id", pos: str = "conv
 def messages_text(messages) -> F.Column:
     """Flat ``role: content`` lines of a messages array (for display/compare)."""
     return F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+
+
+def clean_and_collect(grouped: DataFrame, users: DataFrame, text: str = "text", conv: str = "conv_id",
+                      pos: str = "conv_pos", system_prompt: str | None = None,
+                      mention_strategy: str = "join") -> DataFrame:
+    """T1-T6 + A1/W5/N1/N2 with one shuffle: rows are hash-partitioned by
+    conversation once; the mention regroup (keyed by conversation and
+    position) and the conversation grouping both run on that partitioning."""
+    from threadloom.operators.authors import clean_messages
+    x = grouped.repartition(conv)
+    c = clean_messages(x, users, text=text, out="content", key=[conv, pos], strategy=mention_strategy)
+    return collect_conversations(c, conv=conv, pos=pos, content="content", system_prompt=system_prompt)

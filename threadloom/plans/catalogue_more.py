@@ -275,8 +275,9 @@ SELECT conv_id, string_agg(CASE WHEN msg_idx % 2 = 0 THEN 'user' ELSE 'assistant
                            ORDER BY msg_idx) AS messages
 FROM k GROUP BY conv_id""")
 def q_conversation_messages(spark: SparkSession, sf: str) -> DataFrame:
-    c = _grouped_clean(spark, sf, nonblank=True)
-    conv = conversations.collect_conversations(c)
+    m = _valid(spark, sf)
+    s = sz.sessionize(m, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
+    conv = conversations.clean_and_collect(s, tables.customer_users(spark, sf))
     return conv.select("conv_id", conversations.messages_text(F.col("messages")).alias("messages"))
 
 
@@ -487,10 +488,9 @@ def q_fixed_length_rows(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def end_to_end_examples(spark: SparkSession, sf: str, max_length: int = 2048) -> DataFrame:
     users = tables.customer_users(spark, sf)
-    v = authors.resolve_author(_valid(spark, sf), users)
-    s = sz.sessionize(v, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
-    c = authors.clean_messages(s, users, text="text", out="content", key=["event_id"])
-    convs = conversations.collect_conversations(c, system_prompt=TRAINING_PROMPT)
+    s = sz.sessionize(_valid(spark, sf), order=["event_id"], thread="thread_ts", window=7200, max_messages=40,
+                      min_messages=2)
+    convs = conversations.clean_and_collect(s, users, system_prompt=TRAINING_PROMPT)
     ex = examples.to_examples(convs, octet_proxy, max_length=max_length, min_size=2)
     return split.split_exact(ex, "conv_id", seed=42, fraction=0.1)
 
@@ -527,8 +527,7 @@ def q_stage_counters(spark: SparkSession, sf: str) -> DataFrame:
     users = tables.customer_users(spark, sf)
     v = _valid(spark, sf)
     s = sz.sessionize(v, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
-    c = authors.clean_messages(s, users, text="text", out="content", key=["event_id"])
-    convs = conversations.collect_conversations(c, system_prompt=TRAINING_PROMPT)
+    convs = conversations.clean_and_collect(s, users, system_prompt=TRAINING_PROMPT)
     allx = examples.to_examples(convs, octet_proxy, max_length=2048, min_size=2, keep_skipped=True)
     ex = split.split_exact(allx.filter(~F.col("skipped")), "conv_id", seed=42, fraction=0.1)
     return stage_counters(v, convs.select("conv_id"), allx, ex)

@@ -3,7 +3,7 @@ preprocessing does), as one lazy DataFrame plan with two materialisation
 points: the bronze message table (lineage cut, prunable parquet) and the
 dataset itself.
 
-    export --decode--> bronze --F1/F2, T8--> valid --J1--> msgs
+    export --decode--> bronze --F1/F2, T8--> valid (J1 is dead: not joined)
       --W1-W4/F11--> grouped --T1-T6--> cleaned --A1/W5/N1/N2--> conversations
       --F13/N3/N4/F14/F15--> examples --X1--> split --K1--> dataset (+K2, K3, A3)
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.template import TRAINING_PROMPT
 from threadloom.functions.tokens import TokenCounter, octet_proxy
-from threadloom.operators import authors, conversations, examples, filters, split
+from threadloom.operators import conversations, examples, filters, split
 from threadloom.operators.sessionize import DEFAULT_BUCKET_SECONDS, sessionize
 from threadloom.sinks import dataset as sinks
 from threadloom.sources import export as src
@@ -43,7 +43,7 @@ class Options:
     split_mode: str = "exact"         # "exact" or "hash"
     bucket_seconds: float = DEFAULT_BUCKET_SECONDS
     newline: str = "literal"
-    mention_strategy: str = "auto"
+    mention_strategy: str = "join"
 
 
 @dataclass
@@ -65,14 +65,15 @@ def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
     if "found" in obs:
         valid = valid.observe(obs["found"], F.count(F.lit(1)).alias("messages_found"),
                               F.count_if(F.col("ts_num").isNull()).alias("bad_ts"))
-    valid = valid.filter(F.col("ts_num").isNotNull())
-    msgs = authors.resolve_author(valid, users)
+    # the author name (J1, F10) is computed and then discarded by the reference;
+    # it does not reach the dataset, so the build does not join for it
+    # (``authors.resolve_author`` provides it where wanted)
+    msgs = valid.filter(F.col("ts_num").isNotNull())
     grouped = sessionize(msgs, keys=scope_keys(opt.scope), ts="ts_num", order=ORDER, thread="thread_ts",
                          window=opt.window, max_messages=opt.max_messages, min_messages=opt.min_messages,
                          bucket_seconds=opt.bucket_seconds)
-    cleaned = authors.clean_messages(grouped, users, text="text", out="content", key=list(ORDER),
-                                     strategy=opt.mention_strategy)
-    convs = conversations.collect_conversations(cleaned, system_prompt=opt.system_prompt)
+    convs = conversations.clean_and_collect(grouped, users, system_prompt=opt.system_prompt,
+                                            mention_strategy=opt.mention_strategy)
     if "grouped" in obs:
         convs = convs.observe(obs["grouped"], F.count(F.lit(1)).alias("conversations_grouped"))
     allx = examples.to_examples(convs, opt.counter, max_length=opt.max_length, min_size=opt.min_formatted,
