@@ -83,9 +83,13 @@ def sessionize(
     # a break inside the bucket (rows 2..n); row 1 is decided by the carry
     lbrk = (c("_lrn") > 1) & ((c(ts) - c("_lprev_ts") >= win) | ~c("_thr").eqNullSafe(c("_lprev_thr")))
     x = x.withColumn("_lbrk", F.when(lbrk, c("_lrn")))
+    # "next break after this row" as a running min in descending order: a
+    # growing frame is evaluated incrementally, while a frame ending at
+    # UNBOUNDED FOLLOWING is re-aggregated for every row (quadratic)
+    wl_desc = Window.partitionBy(*keys, "_bk").orderBy(*[c(k).desc() for k in order_cols])
     x = x.withColumns({
         "_lmax": F.max("_lbrk").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_lnext": F.min("_lbrk").over(wl.rowsBetween(1, Window.unboundedFollowing))})
+        "_lnext": F.min("_lbrk").over(wl_desc.rowsBetween(Window.unboundedPreceding, -1))})
 
     # one row per (key, bucket); x is already hash-partitioned on these columns
     row = F.struct(*[c(k) for k in order_cols], c("_thr").alias("thr"))
@@ -93,6 +97,7 @@ def sessionize(
         F.count(F.lit(1)).alias("_cnt"), F.min(row).alias("_first"), F.max(row).alias("_last"),
         F.max("_lbrk").alias("_bmax_l"), F.min("_lbrk").alias("_bmin_l"))
     wk = Window.partitionBy(*keys).orderBy("_bk") if keys else Window.orderBy("_bk")
+    wk_desc = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(c("_bk").desc())
     wk_all = Window.partitionBy(*keys) if keys else Window.partitionBy()
     s = s.withColumns({
         "_off": F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"),
@@ -108,7 +113,7 @@ def sessionize(
     sk = [f"_sk{i}" for i in range(len(keys))] + ["_sbk"]
     s = s.select(*[c(k).alias(a) for k, a in zip(keys + ["_bk"], sk)], "_off", "_tot", "_fbrk", "_prev_last",
                  F.max("_bmax").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_cmax"),
-                 F.min("_bmin").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cmin"))
+                 F.min("_bmin").over(wk_desc.rowsBetween(Window.unboundedPreceding, -1)).alias("_cmin"))
     cond = None
     for k, a in zip(keys + ["_bk"], sk):
         e = x[k].eqNullSafe(s[a])
