@@ -18,6 +18,10 @@ def test_ws_class_is_python_isspace(spark):
     # Spark's reading of the fixed class agrees with str.isspace on every char below U+3100
     spark_ws = _one(spark, lambda c: c.rlike("^" + tx.WS_CLASS + "$"), [chr(c) for c in range(1, 0x3100)])
     assert [chr(c) for c, ok in zip(range(1, 0x3100), spark_ws) if ok] == [c for c in py if ord(c) < 0x3100]
+    # the derived non-whitespace class is its exact complement
+    chars = [chr(c) for c in range(0, 0x3100)] + ["\U0001F600", "\U0010FFFF"]
+    non_ws = _one(spark, lambda c: c.rlike("^" + tx.NON_WS_CLASS + "$"), chars)
+    assert non_ws == [not ch.isspace() for ch in chars]
 
 
 def test_collapse_and_blank(spark):

@@ -17,18 +17,37 @@ from pyspark.sql import functions as F
 # Python's notion of whitespace (str.isspace / str.split() / str.strip()):
 #   U+0009..U+000D, U+001C..U+0020, U+0085, U+00A0, U+1680, U+2000..U+200A,
 #   U+2028, U+2029, U+202F, U+205F, U+3000
+WS_RANGES = ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+             (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
 WS_CLASS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-NON_WS_CLASS = r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 # User mention, channel reference and wrapped URL markup.
 MENTION_RE = r"<@([A-Za-z0-9]+)>"
 MENTION_SPLIT_RE = r"<@[A-Za-z0-9]+>"
 CHANNEL_RE = r"<#([A-Za-z0-9]+)\|([^>]+)>"
-URL_RE = r"<(http" + NON_WS_CLASS + r"+)>"
 UNKNOWN_USER = "Unknown User"
 # A numeric ts string as accepted by float(), without nan/inf/underscores.
 TS_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 # ---------------------------------------------------------------------------
 
+
+def _non_ws_class() -> str:
+    """Every code point outside ``WS_RANGES``, written as positive ranges with
+    the one holding ASCII letters first.  Same set as ``[^...WS...]``, but
+    Java's regex engine accepts an ordinary character on its first range test
+    instead of testing it against every whitespace range (about 4x faster on
+    the URL pattern); RE2 reads it the same way."""
+    gaps, lo = [], 0
+    for a, b in WS_RANGES:
+        if a > lo:
+            gaps.append((lo, a - 1))
+        lo = b + 1
+    gaps.append((lo, 0x10FFFF))
+    gaps.sort(key=lambda r: (not (r[0] <= ord("a") <= r[1]), r[0]))
+    return "[" + "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in gaps) + "]"
+
+
+NON_WS_CLASS = _non_ws_class()
+URL_RE = r"<(http" + NON_WS_CLASS + r"+)>"
 WS_LEADING = "^" + WS_CLASS + "+"
 WS_TRAILING = WS_CLASS + "+$"
 

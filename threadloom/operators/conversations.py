@@ -49,10 +49,43 @@ def messages_text(messages) -> F.Column:
 def clean_and_collect(grouped: DataFrame, users: DataFrame, text: str = "text", conv: str = "conv_id",
                       pos: str = "conv_pos", system_prompt: str | None = None,
                       mention_strategy: str = "join") -> DataFrame:
-    """T1-T6 + A1/W5/N1/N2 with one shuffle: rows are hash-partitioned by
-    conversation once; the mention regroup (keyed by conversation and
-    position) and the conversation grouping both run on that partitioning."""
-    from threadloom.operators.authors import clean_messages
+    """T1-T6 + A1/W5/N1/N2 with one shuffle.
+
+    Rows are hash-partitioned by conversation once.  Mentions are exploded
+    and looked up with an equi-join on the (size-checked, broadcast) user
+    directory; the names are then gathered in the conversation aggregate
+    itself, next to the messages, so no per-message regroup is needed.  Each
+    message's text is rebuilt inside the conversation (at most
+    ``max_messages`` messages), cleaned, and numbered."""
+    from threadloom.functions.text import MENTION_RE, clean_rest, rejoin_mentions
+    from threadloom.operators import authors
+    if mention_strategy == "map":
+        from threadloom.operators.authors import clean_messages
+        c = clean_messages(grouped, users, text=text, out="content", strategy="map")
+        return collect_conversations(c, conv=conv, pos=pos, content="content", system_prompt=system_prompt)
     x = grouped.repartition(conv)
-    c = clean_messages(x, users, text=text, out="content", key=[conv, pos], strategy=mention_strategy)
-    return collect_conversations(c, conv=conv, pos=pos, content="content", system_prompt=system_prompt)
+    d = authors.dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
+    if authors._count(users) <= authors.BROADCAST_MAX_USERS:
+        d = F.broadcast(d)
+    t = F.coalesce(F.col(text), F.lit(""))
+    ex = x.select(F.col(conv), F.col(pos).alias("_p"), t.alias("_t"),
+                  F.posexplode_outer(F.regexp_extract_all(t, F.lit(MENTION_RE), 1)).alias("_i", "_mid"))
+    ex = ex.join(d, "_mid", "left")
+    first_row = F.coalesce(F.col("_i"), F.lit(0)) == 0
+    g = ex.groupBy(conv).agg(
+        F.sort_array(F.collect_list(F.when(first_row, F.struct(F.col("_p").alias("p"), F.col("_t").alias("t")))))
+        .alias("_m"),
+        F.sort_array(F.collect_list(F.when(F.col("_i").isNotNull(), F.struct(
+            F.col("_p").alias("p"), F.col("_i").alias("i"),
+            F.concat(F.lit("@"), F.coalesce("_mname", "_mid")).alias("n"))))).alias("_n"))
+    names = F.col("_n")
+    cleaned = F.transform(F.col("_m"), lambda m: F.struct(
+        m["p"].alias("p"),
+        clean_rest(rejoin_mentions(m["t"], F.transform(F.filter(names, lambda n: n["p"] == m["p"]),
+                                                       lambda n: n["n"]))).alias("c")))
+    kept = F.filter(cleaned, lambda m: m["c"] != F.lit(""))
+    msgs = F.transform(kept, lambda m, i: F.struct(
+        F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        m["c"].alias("content")))
+    out = g.select(F.col(conv), with_system_prompt(msgs, system_prompt).alias("messages"))
+    return out.withColumn("length", F.size("messages"))
