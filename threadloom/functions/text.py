@@ -67,10 +67,18 @@ def strip_ws(text) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(text), WS_LEADING, ""), WS_TRAILING, "")
 
 
+_WIDE_WS = "".join(chr(c) for a, b in WS_RANGES for c in range(a, b + 1) if c > 0x7F)
+_ASCII_WS_RUN = r"[\t-\r\x1c-\x20]+"
+
+
 def collapse_ws(text) -> Column:
     """T4: ``' '.join(text.split())`` - every whitespace run becomes one space,
-    ends trimmed (newlines are lost, as in the reference)."""
-    return F.btrim(F.regexp_replace(_c(text), WS_CLASS + "+", " "), F.lit(" "))
+    ends trimmed (newlines are lost, as in the reference).  Non-ASCII
+    whitespace is first mapped to spaces with ``translate`` (a table lookup),
+    so the run pattern is an ASCII class; runs stay runs, the result is the
+    same as collapsing with the full class."""
+    t = F.translate(_c(text), _WIDE_WS, " " * len(_WIDE_WS))
+    return F.btrim(F.regexp_replace(t, _ASCII_WS_RUN, " "), F.lit(" "))
 
 
 def replace_channel_refs(text) -> Column:
