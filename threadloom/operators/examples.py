@@ -24,6 +24,17 @@ def with_token_count(df: DataFrame, counter: TokenCounter = octet_proxy, text: s
     return df.withColumn("n_tokens", counter(F.col(text)).cast("int"))
 
 
+def flag_examples(convs: DataFrame, counter: TokenCounter = octet_proxy, max_length: int = 2048,
+                  min_size: int = 2, newline: str = "literal") -> DataFrame:
+    """Every conversation with ``formatted`` (passes F13) and ``skipped``
+    (formatted, but too long or without text/token count: F14/F15) - one
+    table from which all stage counters can be read."""
+    x = with_token_count(render(convs, newline), counter)
+    formatted = F.size("messages") >= F.lit(int(min_size))
+    ok = F.col("text").isNotNull() & F.col("n_tokens").isNotNull() & (F.col("n_tokens") <= F.lit(int(max_length)))
+    return x.withColumns({"formatted": formatted, "skipped": formatted & ~ok})
+
+
 def to_examples(convs: DataFrame, counter: TokenCounter = octet_proxy, max_length: int = 2048,
                 min_size: int = 2, newline: str = "literal", keep_skipped: bool = False) -> DataFrame:
     """F13 -> N3 -> N4 -> F14/F15.

@@ -523,11 +523,13 @@ UNION ALL SELECT 'examples_skipped', count(*) FILTER (WHERE n_tokens > 2048) FRO
 UNION ALL SELECT 'train', count(*) FILTER (WHERE split = 'train') FROM sx
 UNION ALL SELECT 'test', count(*) FILTER (WHERE split = 'test') FROM sx""")
 def q_stage_counters(spark: SparkSession, sf: str) -> DataFrame:
+    from threadloom.session import cut_lineage
     from threadloom.sinks.dataset import stage_counters
     users = tables.customer_users(spark, sf)
     v = _valid(spark, sf)
     s = sz.sessionize(v, order=["event_id"], thread="thread_ts", window=7200, max_messages=40, min_messages=2)
     convs = conversations.clean_and_collect(s, users, system_prompt=TRAINING_PROMPT)
-    allx = examples.to_examples(convs, octet_proxy, max_length=2048, min_size=2, keep_skipped=True)
-    ex = split.split_exact(allx.filter(~F.col("skipped")), "conv_id", seed=42, fraction=0.1)
-    return stage_counters(v, convs.select("conv_id"), allx, ex)
+    flagged = cut_lineage(examples.flag_examples(convs, octet_proxy, max_length=2048, min_size=2))
+    ex = split.split_exact(flagged.filter(F.col("formatted") & ~F.col("skipped")), "conv_id", seed=42,
+                           fraction=0.1, materialize=False)
+    return stage_counters(v, flagged, ex)

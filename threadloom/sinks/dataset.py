@@ -28,26 +28,21 @@ def dataset_card(examples: DataFrame, split: str = "split") -> DataFrame:
         F.count_if(F.col(split) == "test").cast("long").alias("eval_samples"))
 
 
-def stage_counters(messages: DataFrame, grouped: DataFrame, formatted: DataFrame,
-                   examples: DataFrame) -> DataFrame:
+def stage_counters(messages: DataFrame, flagged: DataFrame, examples: DataFrame) -> DataFrame:
     """A3 as a table ``(stage, n)``: messages found, conversations grouped,
     conversations formatted, examples skipped (length/error), train, test.
-    ``formatted`` carries the ``skipped`` flag of ``to_examples(keep_skipped=True)``."""
-    def one(df: DataFrame, stage: str, cond=None) -> DataFrame:
-        n = F.count(F.lit(1)) if cond is None else F.count_if(cond)
-        return df.agg(n.cast("long").alias("n")).select(F.lit(stage).alias("stage"), "n")
-    parts = [
-        one(messages, "messages_found"),
-        one(grouped, "conversations_grouped"),
-        one(formatted, "conversations_formatted"),
-        one(formatted, "examples_skipped", F.col("skipped")),
-        one(examples, "train", F.col("split") == "train"),
-        one(examples, "test", F.col("split") == "test"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ``flagged`` is ``examples.flag_examples`` output (one row per grouped
+    conversation); ``examples`` carries ``split``."""
+    found = messages.agg(F.count(F.lit(1)).cast("long").alias("messages_found"))
+    conv = flagged.agg(F.count(F.lit(1)).cast("long").alias("conversations_grouped"),
+                       F.count_if("formatted").cast("long").alias("conversations_formatted"),
+                       F.count_if("skipped").cast("long").alias("examples_skipped"))
+    spl = examples.agg(F.count_if(F.col("split") == "train").cast("long").alias("train"),
+                       F.count_if(F.col("split") == "test").cast("long").alias("test"))
+    def rows(agg: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("stage"), F.col(c).alias("n")) for c in agg.columns]
+        return agg.select(F.explode(F.array(*pairs)).alias("r")).select("r.stage", "r.n")
+    return rows(found).unionByName(rows(conv)).unionByName(rows(spl))
 
 
 def write_dataset(examples: DataFrame, path: str, mode: str = "overwrite") -> None:
