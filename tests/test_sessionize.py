@@ -48,9 +48,9 @@ def test_matches_greedy_loop(spark, window, min_n, max_n):
         ordered = sorted(rows, key=lambda r: (r[1], r[0]))
         expect |= {(f"t{trial}", tuple(c)) for c in brute_force(ordered, window, min_n, max_n)}
     df = spark.createDataFrame(data, "trial string, id long, ts double, thr string")
-    for bucket in (3.0, 1000.0):
+    for bucket, rows in ((3.0, None), (1000.0, None), (1000.0, 7)):
         out = sessionize(df, keys=["trial"], ts="ts", order=["id"], thread="thr", window=window,
-                         max_messages=max_n, min_messages=min_n, bucket_seconds=bucket)
+                         max_messages=max_n, min_messages=min_n, bucket_seconds=bucket, bucket_rows=rows)
         got = {}
         for r in out.select("trial", "conv_id", "conv_pos", "conv_size", "id").collect():
             got.setdefault((r.trial, r.conv_id), []).append((r.conv_pos, r.id, r.conv_size))
@@ -77,6 +77,26 @@ def test_global_scope_equals_single_key(spark):
     assert {tuple(i for _, i in sorted(v)) for v in got.values()} == expect
 
 
+def test_burst_bucket_is_split(spark):
+    # 600 messages inside one hour of one channel: with bucket_rows=50 the hour is
+    # cut into sub-buckets; the grouping equals the brute force
+    rng = random.Random(5)
+    rows = [(i, round(rng.uniform(0, 3000), 2), rng.choice([None, "a"])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, ts double, thr string")
+    from threadloom.operators.sessionize import _attach_buckets, bucket_ids
+    b = _attach_buckets(df, bucket_ids(df, [], "ts", 3600.0, 50))
+    sizes = [r["count"] for r in b.groupBy("_bk").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 120
+    ordered = sorted(rows, key=lambda r: (r[1], r[0]))
+    expect = {tuple(c) for c in brute_force(ordered, 3.0, 2, 4)}
+    out = sessionize(df, ts="ts", order=["id"], thread="thr", window=3.0, max_messages=4, min_messages=2,
+                     bucket_rows=50)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.conv_id, []).append((r.conv_pos, r.id))
+    assert {tuple(i for _, i in sorted(v)) for v in got.values()} == expect
+
+
 def test_partition_count_invariance(spark):
     rng = random.Random(11)
     rows = _random_rows(rng, 200, span=300.0)

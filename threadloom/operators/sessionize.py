@@ -34,10 +34,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600.0
-_INTERNAL = {"_sbk", *[f"_sk{i}" for i in range(16)], "_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
+DEFAULT_BUCKET_ROWS = 2_000_000   # rows per window partition above which a time bucket is split
+SUB_MAX = 1 << 20                 # at most 2^20 sub-buckets per time bucket
+_INTERNAL = {"_cb", "_k", "_sbk", *[f"_sk{i}" for i in range(16)], "_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
              "_off", "_tot", "_fbrk", "_cmax", "_cmin", "_prev_last", "_run_len"}
 
 
+def bucket_ids(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: float,
+               bucket_rows: int | None) -> Column:
+    """Bucket id per row, non-decreasing in ``ts`` within a key.
+
+    ``floor(ts / bucket_seconds)`` by default.  With ``bucket_rows``, a time
+    bucket holding more rows than that (a burst) is cut into ``k`` equal
+    sub-intervals, ``k = ceil(rows / bucket_rows)``, so no window partition
+    holds much more than ``bucket_rows`` rows unless they share one timestamp
+    to the sub-interval resolution.  The per-bucket counts are one map-side
+    combined aggregate over (keys, ts); only buckets above ``bucket_rows`` are
+    kept, so that table has at most ``rows / bucket_rows`` entries (500,000 at
+    10^12 messages with the default) - the bound that makes its broadcast
+    safe."""
+    coarse = F.floor(F.col(ts) / F.lit(float(bucket_seconds))).cast("long")
+    if not bucket_rows:
+        return coarse
+    counts = (df.groupBy(*[F.col(k) for k in keys], coarse.alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > F.lit(int(bucket_rows))))
+    hot = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_cb",
+                        F.least(F.ceil(F.col("_n") / F.lit(int(bucket_rows))), F.lit(SUB_MAX)).cast("long").alias("_k"))
+    return _SubBucket(hot, keys, coarse, ts, bucket_seconds)
+
+
+class _SubBucket:
+    """Marker resolved by :func:`_attach_buckets` (needs a join)."""
+
+    def __init__(self, hot, keys, coarse, ts, width):
+        self.hot, self.keys, self.coarse, self.ts, self.width = hot, list(keys), coarse, ts, width
+
+
+def _attach_buckets(df: DataFrame, spec) -> DataFrame:
+    if not isinstance(spec, _SubBucket):
+        return df.withColumn("_bk", spec)
+    x = df.withColumn("_cb", spec.coarse)
+    cond = x["_cb"] == spec.hot["_cb"]
+    for i, k in enumerate(spec.keys):
+        cond = cond & x[k].eqNullSafe(spec.hot[f"_hk{i}"])
+    j = x.join(F.broadcast(spec.hot), cond, "left")
+    frac = (F.col(spec.ts) - x["_cb"] * F.lit(float(spec.width))) / F.lit(float(spec.width))
+    sub = F.least(F.greatest(F.floor(frac * F.col("_k")), F.lit(0)), F.col("_k") - 1)
+    bk = x["_cb"] * F.lit(SUB_MAX) + F.coalesce(sub, F.lit(0)).cast("long")
+    return j.select(x["*"], bk.alias("_bk")).drop("_cb")
+
+
 def _key_eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     cond = None
     for c in cols:
@@ -58,6 +104,7 @@ def sessionize(
     min_messages: int = 2,
     bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
     keep_prev: bool = False,
+    bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
     """Assign every row to a conversation.
 
@@ -77,7 +124,7 @@ def sessionize(
     c = F.col
 
     wl = Window.partitionBy(*keys, "_bk").orderBy(*order_cols)
-    x = df.withColumns({"_bk": F.floor(c(ts) / F.lit(float(bucket_seconds))).cast("long"), "_thr": thr})
+    x = _attach_buckets(df, bucket_ids(df, keys, ts, bucket_seconds, bucket_rows)).withColumn("_thr", thr)
     x = x.withColumns({"_lrn": F.row_number().over(wl), "_lprev_ts": F.lag(ts).over(wl),
                        "_lprev_thr": F.lag("_thr").over(wl)})
     # a break inside the bucket (rows 2..n); row 1 is decided by the carry
