@@ -63,7 +63,11 @@ def clean_and_collect(grouped: DataFrame, users: DataFrame, text: str = "text",
         from threadloom.operators.authors import clean_messages
         c = clean_messages(grouped, users, text=text, out="content", strategy="map")
         return collect_conversations(c, conv=conv, pos=pos, content="content", system_prompt=system_prompt)
-    x = grouped.repartition(conv)
+    # CPU-bound stage (regexes per message): an explicit partition count keeps
+    # AQE from coalescing it by bytes into a couple of tasks
+    spark = grouped.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    x = grouped.repartition(n, conv)
     d = authors.dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
     if authors._count(users) <= authors.BROADCAST_MAX_USERS:
         d = F.broadcast(d)

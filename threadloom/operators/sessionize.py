@@ -125,6 +125,11 @@ def sessionize(
 
     wl = Window.partitionBy(*keys, "_bk").orderBy(*order_cols)
     x = _attach_buckets(df, bucket_ids(df, keys, ts, bucket_seconds, bucket_rows)).withColumn("_thr", thr)
+    # the one shuffle of the rows, with an explicit count: the windows below are
+    # CPU work that AQE would otherwise coalesce by bytes into few tasks
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    x = x.repartition(n, *keys, "_bk")
     x = x.withColumns({"_lrn": F.row_number().over(wl), "_lprev_ts": F.lag(ts).over(wl),
                        "_lprev_thr": F.lag("_thr").over(wl)})
     # a break inside the bucket (rows 2..n); row 1 is decided by the carry

@@ -26,7 +26,9 @@ def fan_out(df: DataFrame) -> DataFrame:
     large input already has at least that many splits and is left alone."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+        # hash of the whole row: deterministic on retry without the sort that
+        # round-robin repartitioning performs for that purpose
+        return df.repartition(slots, *[F.col(c) for c in df.columns])
     return df
 
 
