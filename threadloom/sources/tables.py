@@ -16,8 +16,9 @@ from threadloom.functions.text import epoch_micros
 NBSP = "\u00a0"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return fan_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fan_out(df) if spread else df
 
 
 def fan_out(df: DataFrame) -> DataFrame:
@@ -39,15 +40,14 @@ def _s(c) -> F.Column:
 def event_text() -> F.Column:
     """Chat text built from an event row, with markup of every kind the cleaner
     handles (known and unknown mentions, channel refs with and without label,
-    wrapped and greedy URLs, tabs/newlines), and blank texts for small values."""
-    uid, et, eid = _s("user_id"), F.col("event_type"), _s("event_id")
-    body = F.concat(
-        F.lit("Hi <@"), uid, F.lit(">, ping <@U"), uid, F.lit("> in <#C"), uid, F.lit("|"), et,
-        F.lit("> and <#C"), uid, F.lit(">:\tsee <http://ex.com/"), et, F.lit("/"), eid,
-        F.lit("> or <http://a.io/"), uid, F.lit(">,<http://b.io|b>\n\n ok  "), et, F.lit(" "))
-    return (F.when(F.col("value") < 0.5, F.lit(""))
-             .when(F.col("value") < 1.0, F.lit(NBSP + "\t "))
-             .otherwise(body))
+    wrapped and greedy URLs, tabs/newlines), and blank texts for small values.
+    One SQL expression (the same text as the DuckDB view)."""
+    u = "CAST(user_id AS STRING)"
+    return F.expr(
+        "CASE WHEN value < 0.5 THEN '' WHEN value < 1.0 THEN concat(char(160), char(9), ' ') "
+        f"ELSE concat('Hi <@', {u}, '>, ping <@U', {u}, '> in <#C', {u}, '|', event_type, '> and <#C', {u}, "
+        "'>:', char(9), 'see <http://ex.com/', event_type, '/', CAST(event_id AS STRING), '> or <http://a.io/', "
+        f"{u}, '>,<http://b.io|b>', char(10), char(10), ' ok  ', event_type, ' ') END")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,6 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User directory: id (string), real_name, ord (directory order)."""
-    c = read_table(spark, sf_dir, "customer")
+    c = read_table(spark, sf_dir, "customer", spread=False)  # lookup side: no per-row work
     return c.select(_s("c_custkey").alias("id"), F.col("c_name").alias("real_name"),
                     F.col("c_custkey").alias("ord"))
