@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import epoch_micros
 from threadloom.operators.scan import prefix_scan
+from threadloom.sources.paths import relative_path
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -27,13 +28,9 @@ GIB = 1024 ** 3
 
 def artifact_files(spark: SparkSession, path: str) -> DataFrame:
     """Every file under ``path`` with ``rel_path``, ``name``, ``depth``, ``length``."""
-    root = path.rstrip("/")
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
           .select("path", "length"))
-    r = root.split("://", 1)[-1]
-    r = r[len("file:"):] if r.startswith("file:") else r
-    p = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    rel = F.substring(p, F.instr(p, F.lit(r + "/")) + F.lit(len(r) + 1), 1 << 30)
+    rel = relative_path("path", path)
     parts = F.split(rel, "/")
     return df.select(rel.alias("rel_path"), F.element_at(parts, -1).alias("name"),
                      (F.size(parts) - 1).alias("depth"), "length")

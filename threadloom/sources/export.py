@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import parse_ts
+from threadloom.sources.paths import relative_path
 
 # ---------------------------------------------------------------------------
 # Fixed values (file names the export reader skips at any depth)
@@ -93,15 +94,8 @@ def read_channels(spark: SparkSession, root: str) -> DataFrame:
     return e.select(F.col("c.name").alias("name"), F.col("ord").cast("long").alias("ord"))
 
 
-def _decoded_path(col: str) -> F.Column:
-    return F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B")))
-
-
 def _path_columns(df: DataFrame, root: str, path_col: str) -> DataFrame:
-    r = _strip_slash(root).split("://", 1)[-1]
-    r = r[len("file:"):] if r.startswith("file:") else r
-    p = _decoded_path(path_col)
-    rel = F.substring(p, F.instr(p, F.lit(r + "/")) + F.lit(len(r) + 1), 1 << 30)
+    rel = relative_path(path_col, root)
     parts = F.split(rel, "/")
     fname = F.element_at(parts, -1)
     return (df.withColumn("rel_path", rel)
