@@ -113,3 +113,10 @@ def test_batches_and_fixed_length(spark):
     out = batching.fixed_length(t, length=5, pad=9).collect()
     assert [list(r.input_ids) for r in out] == [[1, 2, 3, 9, 9], [6, 7, 8, 9, 1]]
     assert [list(r.attention_mask) for r in out] == [[1, 1, 1, 0, 0], [1, 1, 1, 0, 1]]
+
+
+def test_custom_role_table(spark):
+    conv = conversations.collect_conversations(_convs(spark), system_prompt="S").filter("conv_id = 'c1'")
+    fmt = {"system": ("<s>", "</s>"), "user": ("[U]", "|"), "assistant": ("[A]", "|")}
+    t = conv.select(render_template(F.col("messages"), bos="", role_format=fmt).alias("t")).first().t
+    assert t == "<s>S</s>[U]a|[A]b|[U]c|"
