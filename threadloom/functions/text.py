@@ -110,12 +110,15 @@ def rejoin_mentions(text, names: Column) -> Column:
     t = _c(text)
     parts = F.split(t, MENTION_SPLIT_RE, -1)
     names = F.concat(F.coalesce(names, F.array().cast("array<string>")), F.array(F.lit("")))
-    return F.array_join(F.zip_with(parts, names, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    joined = F.array_join(F.zip_with(parts, names, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    return F.when(F.instr(t, "<@") > 0, joined).otherwise(t)
 
 
 def clean_rest(text) -> Column:
-    """T2 -> T3 -> T4 (the part of ``clean_text`` after mentions)."""
-    return collapse_ws(unwrap_urls(replace_channel_refs(text)))
+    """T2 -> T3 -> T4 (the part of ``clean_text`` after mentions).  Both markup
+    patterns start with ``<``: a text without one only needs T4."""
+    t = _c(text)
+    return F.when(F.instr(t, "<") > 0, collapse_ws(unwrap_urls(replace_channel_refs(t)))).otherwise(collapse_ws(t))
 
 
 def clean_text(text, names_map: Column | None = None) -> Column:
