@@ -37,3 +37,16 @@ def test_build_channel_scope(spark, mini_export, tmp_path):
     ex = spark.read.parquet(res.paths["dataset"] + "/parquet").collect()
     assert [r.length for r in ex] == [5]
     assert ex[0].conv_id.startswith("general:")
+
+
+def test_guards(spark, tmp_path):
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        build_dataset(spark, str(tmp_path / "missing"), str(tmp_path / "out"))
+    empty = tmp_path / "empty"
+    (empty / "general").mkdir(parents=True)
+    (empty / "users.json").write_text("[]")
+    (empty / "channels.json").write_text("[]")
+    (empty / "general" / "2024-01-01.json").write_text("[]")
+    with pytest.raises(ValueError, match="no messages"):
+        build_dataset(spark, str(empty), str(tmp_path / "out2"))

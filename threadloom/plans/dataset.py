@@ -93,7 +93,7 @@ def build_dataset(spark: SparkSession, export_dir: str, out_dir: str, options: O
     exp = src.read_export(spark, export_dir)
     bronze = f"{out_dir}/bronze"
     src.write_bronze(exp.messages, bronze)
-    messages = src.read_bronze(spark, bronze)
+    messages = src.read_bronze(spark, bronze, schema=exp.messages.schema)
     if messages.isEmpty():
         raise ValueError(f"no messages found in {export_dir}")
 

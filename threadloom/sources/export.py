@@ -67,6 +67,8 @@ def _hidden_channel_dirs(spark: SparkSession, root: str) -> list[str]:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"export directory not found: {root}")  # S8
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
@@ -180,12 +182,12 @@ def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite") -> Non
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str, latest_file_only: bool = False) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, latest_file_only: bool = False, schema=None) -> DataFrame:
     """The bronze table.  ``latest_file_only`` applies S7 at read time (for a
     table filled incrementally, where a later file for the same channel and
     day replaces the earlier one): only rows of the winning file per
     ``(channel, date)`` are kept, chosen on the distinct (path, depth) list."""
-    b = spark.read.parquet(path)
+    b = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if not latest_file_only:
         return b
     files = b.select("channel", "date", "path", "depth").distinct()
