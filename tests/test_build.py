@@ -7,7 +7,7 @@ from threadloom.plans.dataset import Options, build_dataset
 
 
 def test_build_dataset(spark, mini_export, tmp_path):
-    res = build_dataset(spark, mini_export, str(tmp_path / "out"), Options(window=100.0))
+    res = build_dataset(spark, mini_export, str(tmp_path / "out"), Options(window=100.0, system_prompt="Be brief."))
     c = res.counters
     assert c["messages_found"] >= c["bad_ts"] > 0
     assert c["conversations_formatted"] - c["examples_skipped"] == c["train"] + c["test"]
@@ -30,7 +30,7 @@ def test_build_dataset(spark, mini_export, tmp_path):
 
 
 def test_build_channel_scope(spark, mini_export, tmp_path):
-    res = build_dataset(spark, mini_export, str(tmp_path / "out"), Options(window=1e9, scope="channel"))
+    res = build_dataset(spark, mini_export, str(tmp_path / "out"), Options(window=1e9, scope="channel", system_prompt="Be brief."))
     # unbounded gap: each channel is one conversation; only "general" has >= 2
     # valid messages with a parseable ts (4 of them, + the system message)
     assert res.counters["conversations_grouped"] == 1

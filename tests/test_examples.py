@@ -4,12 +4,15 @@ import math
 
 from pyspark.sql import functions as F
 
-from threadloom.functions.template import BOS, TRAINING_PROMPT, render_template, truncate_at_stop
+from threadloom.functions.template import BOS, render_template, truncate_at_stop
 from threadloom.functions.tokens import octet_proxy, word_proxy
 from threadloom.operators import batching, conversations, examples, split, transcripts
 from threadloom.sinks import dataset as sinks
 
 
+TRAINING_PROMPT = "You are a helpful assistant."
+
+
 def _convs(spark):
     rows = [("c1", 1, "a"), ("c1", 2, ""), ("c1", 3, "b"), ("c1", 4, "c"), ("c2", 1, "solo")]
     return spark.createDataFrame(rows, "conv_id string, conv_pos long, content string")

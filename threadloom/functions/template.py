@@ -22,9 +22,6 @@ ROLE_FORMAT = {
     "assistant": ("Assistant: ", "{nl}{nl}"),
 }
 STOP_MARKERS = ("Human:", "human:", "Assistant:", "assistant:")
-# System prompt used for training examples by the shipped configuration.
-TRAINING_PROMPT = ("You are an AI assistant trained to embody the communication style and knowledge "
-                   "from our Slack workspace. Respond naturally while maintaining our team's tone and context.")
 CONTROL_COMMANDS = ("exit", "new", "clear_history", "info")
 # ---------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as tx
-from threadloom.functions.template import BOS, TRAINING_PROMPT, render_template
+from threadloom.functions.template import BOS, render_template
 from threadloom.functions.tokens import char_tokens, octet_proxy
 from threadloom.operators import authors, batching, conversations, examples, filters, split, transcripts
 from threadloom.operators import sessionize as sz
@@ -17,6 +17,11 @@ from threadloom.sources import tables
 
 __all__: list[str] = []
 
+# Query parameters: the system prompts the catalogue's queries use (any text works;
+# the same strings are used by the Spark queries and their SQL oracles).
+TRAINING_PROMPT = "You are a helpful assistant that answers in the style of these conversations."
+CHAT_PROMPT = "You are a helpful assistant. Keep answers short."
+
 # ---------------------------------------------------------------------------
 # SQL fragments (same patterns as threadloom.functions.text)
 # ---------------------------------------------------------------------------
@@ -436,8 +441,6 @@ def q_reset_segments(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.reset_segments(_transcript(spark, sf)).select("session_id", "turn", "role", "segment")
 
 
-CHAT_PROMPT = ("You are an AI assistant trained on our team's communication style. Help users by providing "
-               "responses that match our team's context and tone.")
 _SYS_LEN = len(BOS) + len("System: " + CHAT_PROMPT + NL + NL)
 
 

@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.functions.template import TRAINING_PROMPT
 from threadloom.functions.tokens import TokenCounter, octet_proxy
 from threadloom.operators import conversations, examples, filters, split
 from threadloom.operators.sessionize import DEFAULT_BUCKET_SECONDS, sessionize
@@ -30,7 +29,7 @@ ORDER = ("channel", "date", "pos")
 
 @dataclass
 class Options:
-    system_prompt: str | None = TRAINING_PROMPT
+    system_prompt: str | None = None  # no system message unless configured (as in the reference code)
     window: float = 7200.0
     min_messages: int = 2
     max_messages: int = 40
