@@ -63,3 +63,34 @@ def test_parse_ts_and_dates(spark):
     assert got == [1731801692.715, None, None, None, None, None, 12.5, 1000.0, None]
     df = spark.createDataFrame([(2024, 1, 5), (999, 12, 31)], "y int, m int, d int")
     assert [r.s for r in df.select(tx.date_string("y", "m", "d").alias("s")).collect()] == ["2024-01-05", "999-12-31"]
+
+
+def _python_cleaning(text, names):
+    """Brute-force oracle with Python's own regex and whitespace semantics."""
+    import re as pyre
+    if not isinstance(text, str):
+        return ""
+    steps = [
+        (r"<@([A-Za-z0-9]+)>", lambda m: "@" + names.get(m.group(1), m.group(1))),
+        (r"<#([A-Za-z0-9]+)\|([^>]+)>", lambda m: "#" + m.group(2)),
+        (r"<(http\S+)>", lambda m: m.group(1)),
+    ]
+    for pattern, repl in steps:
+        text = pyre.sub(pattern, repl, text)
+    return " ".join(text.split())
+
+
+def test_cleaning_matches_python_on_random_text(spark):
+    import random
+    rng = random.Random(17)
+    pieces = ["<@U1>", "<@U2>", "<@U9>", "<@U1|x>", "<#C1|gen>", "<#C2>", "<http://a>", "<http://b|lab>",
+              "<http://c", ">", ",", "<", "|", "http", "word", "\u00e9", "$1", "\\", " ", "  ", "\t", "\n",
+              "\u00a0", "\u3000", "\x1c", "\u2028", "\u200b", "\u0085", "\u1680", "x"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [None]
+    users = spark.createDataFrame([("U1", "Ann $2 \\Lee", 0), ("U2", "Bo\tB", 1)], "id string, real_name string, ord long")
+    names = {"U1": "Ann $2 \\Lee", "U2": "Bo\tB"}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
+    want = {i: _python_cleaning(t, names) for i, t in enumerate(texts)}
+    for strategy in ("join", "map"):
+        got = {r.k: r.content for r in authors.clean_messages(df, users, key=["k"], strategy=strategy).collect()}
+        assert got == want, strategy
