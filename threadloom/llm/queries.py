@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, exact_dedup, packing, token_cache
+from threadloom.llm import bpe, exact_dedup, packing, token_cache, topk, url_rules
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -53,6 +53,37 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@register("op6_top_k", """
+WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len(embedding) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""")
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.CONTRACT_RULES)
+
+
+@register("op9_url_rules", f"""
+WITH rules(h, p, verdict) AS (VALUES {_RULES_SQL}),
+a AS (SELECT page_id, row_number() OVER () AS rid, url, instr(coalesce(url, ''), '://') AS mark FROM pages),
+b AS (SELECT page_id, rid, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM a),
+c AS (SELECT page_id, rid,
+             translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
+d AS (SELECT c.*, h || p AS rule, verdict, row_number() OVER (PARTITION BY rid ORDER BY length(h || p) DESC) AS n
+      FROM c LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM d WHERE n = 1""")
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
 @register("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so that every run counts every text."""
