@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, exact_dedup, packing, token_cache, topk, url_rules
+from threadloom.llm import bpe, exact_dedup, html_text, licenses, packing, quality, token_cache, topk, url_rules
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -35,6 +35,11 @@ def tokenizer(name: str) -> TokenizerFile:
     return TokenizerFile.read(public_tokenizers.path(name))
 
 
+@register("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @register("op3_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -66,6 +71,17 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = quality.draw(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "n_ngrams", "log_weight", "gumbel_key", "kept")
+
+
+@register("op8_licenses")
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.CONTRACT_RULES)
 
 

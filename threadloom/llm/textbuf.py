@@ -16,6 +16,10 @@ WINDOW_BYTES = 1 << 20
 _U64 = np.uint64
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+WORDS = (~SEPARATOR).astype(np.uint8)
+#: Letters, digits and all beyond ASCII; other signs.
+WORDS_AND_SIGNS = np.where(SEPARATOR, 0, 2).astype(np.uint8)
+WORDS_AND_SIGNS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -63,17 +67,18 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of every text, A-Z lower-cased,
-    and the n+1 offsets of each text's words."""
+    and the n+1 offsets of each text's words.  With other ``kinds`` (of the 256
+    bytes; 0 separates) a word is a run of bytes of one kind."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    sep = SEPARATOR[data]
+    kind = kinds[data]
     first = np.empty(len(data), dtype=bool)
     first[0] = True
-    first[1:] = sep[:-1]
+    first[1:] = kind[:-1] != kind[1:]
     first[offsets[:-1][offsets[:-1] < len(data)]] = True
-    starts = np.flatnonzero(first & ~sep)
+    starts = np.flatnonzero(first & (kind > 0))
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     ends = np.append(starts[1:], len(data))
