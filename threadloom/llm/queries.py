@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, exact_dedup, html_text, licenses, packing, quality, token_cache, topk, url_rules
+from threadloom.llm import bpe, exact_dedup, html_text, licenses, near_dup, packing, quality, token_cache, topk, url_rules
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -40,6 +40,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+@register("op2_near_dup")
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op3_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
