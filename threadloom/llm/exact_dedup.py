@@ -141,14 +141,13 @@ def exact_dedup(docs: DataFrame, how: Fingerprint = Fingerprint(), doc_id: str =
         .withColumn("rid", F.monotonically_increasing_id()), "digests")
     mixed = scratch.keep(collisions(docs, how, text), "collisions")
     key = ["fp", "n_bytes"]
-    plain, last = digests, F.max(F.struct("doc_id", "rid"))
-    out = None
     if not mixed.isEmpty():
-        # equal fingerprints, different texts: the digest already stored tells them apart
-        # once the full texts behind it have been compared in the same way
-        key = ["fp", "n_bytes", "sha"]
-    groups = plain.groupBy(*key).agg(last.alias("last"), F.count(F.lit(1)).alias("group_size"))
-    out = plain.join(groups, key)
+        key = ["fp", "n_bytes", "sha"]  # different texts of one fingerprint are told apart by SHA-256
+    # written, so that the join below is dealt out on its own and can split a hot group
+    groups = scratch.keep(
+        digests.groupBy(*key).agg(F.max(F.struct("doc_id", "rid")).alias("last"), F.count(F.lit(1)).alias("group_size")),
+        "groups")
+    out = digests.join(groups, key)
     return out.select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("last.rid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

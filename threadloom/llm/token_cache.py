@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm import fragments, textbuf
 from threadloom.llm.fragments import TokenizerFile
+from threadloom.llm.store import Scratch
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 _ASCII_SPACE = " \t\n\u000b\f\r"
@@ -76,8 +77,10 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: TokenizerFile,
     spark = docs.sparkSession
     fill_cache(docs, cache_path, tokenizer, text)
     key = "__digest"
-    cache = _read_cache(spark, cache_path, tokenizer.version).select(
-        F.col("digest").alias(key), F.col("n_tokens").alias("__n"))
+    # written, so that the join below is dealt out on its own and can split a hot content
+    cache = Scratch(spark, "token-counts").keep(
+        _read_cache(spark, cache_path, tokenizer.version).select(
+            F.col("digest").alias(key), F.col("n_tokens").alias("__n")), "counts")
     out = (docs.drop("n_bytes", "n_tokens", "over_limit")
            .withColumn(key, F.unhex(F.sha2(normalised(text), 256)))
            .withColumn("n_bytes", F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")))
