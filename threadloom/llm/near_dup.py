@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,9 @@ _U64 = np.uint64
 @dataclass(frozen=True)
 class Settings:
     """Words of a shingle; similarity of a link in percent; bands and rows of the
-    signature; posterior probability below which a pair is given up; signature
-    places compared at a time; members of a tile.
+    signature; further places of one byte for comparing only; posterior
+    probability below which a pair is given up; places compared at a time, of
+    the signature and of the others; members of a tile.
 
     A pair at the similarity itself is in no common bucket with probability
     (1 - 0.75^4)^32, about 5 in a million, and given up with ``miss`` at most
@@ -41,14 +42,22 @@ class Settings:
     percent: int = 75
     bands: int = 32
     rows: int = 4
-    miss: float = 1e-5
+    fine: int = 1024
+    miss: float = 1e-4
     batch: int = 32
+    fine_batch: int = 128
     tile: int = 256
 
     @property
     def places(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def steps(self) -> list[int]:
+        """Places compared by the end of each batch."""
+        coarse = {*range(self.batch, self.places + 1, self.batch), self.places}
+        return sorted(coarse | {self.places + n for n in (*range(self.fine_batch, self.fine + 1, self.fine_batch), self.fine)})
+
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
     """Each text's distinct shingle hashes, ascending: of ``width`` consecutive
@@ -69,9 +78,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.n
             yield np.zeros(0, np.uint64)
 
 
-def signature(hashes: np.ndarray, places: int) -> np.ndarray:
+def signature(hashes: np.ndarray, places: int, seed_of: int = 32) -> np.ndarray:
     """MinHash: the least value of each place's permutation of 32-bit values."""
-    seed = textbuf.stream(32, 2 * places)
+    seed = textbuf.stream(seed_of, 2 * places)
     flip, factor = (seed[:places] >> _U64(32)).astype(np.uint32), (seed[places:] >> _U64(32)).astype(np.uint32) | np.uint32(1)
     short = (hashes >> _U64(32)).astype(np.uint32)
     least = np.full(places, 0xFFFFFFFF, np.uint32)
@@ -85,6 +94,16 @@ def _digest(shingle_set: bytes) -> bytes:
     return hashlib.blake2b(shingle_set, digest_size=16).digest()
 
 
+def sketch(hashes: np.ndarray, how: Settings) -> bytes:
+    """The signature and the low bytes of the further places."""
+    return signature(hashes, how.places).tobytes() + signature(hashes, how.fine, 35).astype(np.uint8).tobytes()
+
+
+def sketches(column: pa.Array, how: Settings) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 4 * how.places + how.fine)
+    return np.ascontiguousarray(raw[:, :4 * how.places]).view(np.uint32), raw[:, 4 * how.places:]
+
+
 def _sign(how: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,10 +138,10 @@ def least_matches(how: Settings) -> list[tuple[int, int]]:
     equal, similarity is Beta(m + 1, n - m + 1); it reaches t with the
     probability that at most m of n + 1 trials of chance t succeed."""
     t, out = how.percent / 100, []
-    for n in sorted({*range(how.batch, how.places + 1, how.batch), how.places}):
+    for n in how.steps:
         tail, need = 0.0, 0
         for m in range(n + 1):
-            tail += comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
+            tail += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(t) + (n + 1 - m) * log(1 - t))
             if tail >= how.miss:
                 need = m
                 break
@@ -130,31 +149,34 @@ def least_matches(how: Settings) -> list[tuple[int, int]]:
     return out
 
 
-def survivors(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, steps) -> np.ndarray:
-    """Positions of the pairs (i, j) that no batch of signature places gives up."""
+def survivors(left, right, i: np.ndarray, j: np.ndarray, steps) -> np.ndarray:
+    """Positions of the pairs (i, j) of two lists of sketches that no batch of
+    places gives up.  (Equal low bytes of different values only add survivors.)"""
     alive = np.arange(len(i))
     matches = np.zeros(len(i), np.int32)
-    done = 0
+    done, coarse = 0, left[0].shape[1]
     for n, need in steps:
         if not len(alive):
             break
+        fine = int(done >= coarse)
+        places = slice(done - fine * coarse, n - fine * coarse)
+        x, y = left[fine][:, places], right[fine][:, places]
         for at in range(0, len(alive), 1 << 15):
             part = alive[at:at + (1 << 15)]
-            matches[part] += (left[i[part], done:n] == right[j[part], done:n]).sum(axis=1, dtype=np.int32)
+            matches[part] += (x[i[part]] == y[j[part]]).sum(axis=1, dtype=np.int32)
         alive, done = alive[matches[alive] >= need], n
     return alive
 
 
 def _prune(how: Settings):
-    """Pairs with both signatures -> surviving pairs."""
+    """Pairs with both sketches -> surviving pairs."""
     steps = least_matches(how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, sa, sb = batch.columns
-            x, y = (np.frombuffer(b"".join(s.to_pylist()), np.uint32).reshape(-1, how.places) for s in (sa, sb))
+            a, b, x, y = batch.columns
             all_ = np.arange(len(a))
-            kept = pa.array(survivors(x, y, all_, all_, steps))
+            kept = pa.array(survivors(sketches(x, how), sketches(y, how), all_, all_, steps))
             yield pa.RecordBatch.from_arrays([a.take(kept), b.take(kept)], ["a", "b"])
     return run
 
@@ -167,13 +189,13 @@ def _meet(how: Settings):
     def run(key: tuple[pa.Scalar, ...], got: pa.Table) -> pa.Table:
         got = got.combine_chunks()
         rep, comp = got.column("rep").to_numpy(), got.column("comp").to_numpy()
-        astray = got.column("astray").to_numpy(zero_copy_only=False).astype(bool)
-        sign = np.frombuffer(b"".join(got.column("sign").to_pylist()), np.uint32).reshape(len(rep), how.places)
+        astray = got.column("astray").to_numpy().astype(bool)
+        both = sketches(got.column("sketch"), how)
         x, y = np.flatnonzero(astray), np.flatnonzero(~astray)
         i, j = np.repeat(x, len(y)), np.tile(y, len(x))
         open_ = comp[i] != comp[j]
         i, j = i[open_], j[open_]
-        kept = survivors(sign, sign, i, j, steps)
+        kept = survivors(both, both, i, j, steps)
         a, b = rep[i[kept]], rep[j[kept]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
     return run
@@ -199,11 +221,13 @@ def _sets(how: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, text in textbuf.slices(batch, "text", 2 << 20):
-                sets = [s.tobytes() for s in shingles(*textbuf.buffers(text), how.words)]
+                found = list(shingles(*textbuf.buffers(text), how.words))
+                sets = [s.tobytes() for s in found]
                 rep, digest = (rows.column(rows.schema.get_field_index(c)) for c in ("rep", "digest"))
-                own = pa.array([k for k, x in enumerate(sets) if _digest(x) == digest[k].as_py()], pa.int64())
-                yield pa.RecordBatch.from_arrays([rep.take(own), pa.array(sets, pa.binary()).take(own)],
-                                                 ["rep", "shingles"])
+                own = [k for k, x in enumerate(sets) if _digest(x) == digest[k].as_py()]
+                yield pa.RecordBatch.from_arrays(
+                    [rep.take(pa.array(own, pa.int64())), pa.array([sets[k] for k in own], pa.binary()),
+                     pa.array([sketch(found[k], how) for k in own], pa.binary())], ["rep", "shingles", "sketch"])
     return run
 
 
@@ -246,17 +270,16 @@ def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "
               .select("key", "members", F.col("least").bitwiseXOR(F.col("key")).alias("pivot")))
     buckets = scratch.keep(keys.join(shared, "key").select("key", "rep", "members", "pivot"), "buckets")
     in_buckets = buckets.select("rep").distinct()
-    signs = scratch.keep(reps.join(in_buckets, "rep").select("rep", "digest", "sign"), "signs")
     sets = scratch.keep(
-        texts.join(signs.select(F.col("rep").alias("doc_id"), "rep", "digest"), "doc_id")
-        .select("rep", "digest", "text").mapInArrow(_sets(how), "rep long, shingles binary"), "sets")
+        texts.join(reps.join(in_buckets, "rep").select(F.col("rep").alias("doc_id"), "rep", "digest"), "doc_id")
+        .select("rep", "digest", "text").mapInArrow(_sets(how), "rep long, shingles binary, sketch binary"), "sets")
     if not sets.groupBy("rep").count().where("count > 1").isEmpty():
         sets = sets.distinct()  # repeated rows
 
     # every member meets its bucket's pivot
     met = buckets.where("rep <> pivot").select(
         F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    tried = scratch.keep(_with_both(met, signs, "sign").mapInArrow(_prune(how), "a long, b long"), "tried")
+    tried = scratch.keep(_with_both(met, sets, "sketch").mapInArrow(_prune(how), "a long, b long"), "tried")
     links = scratch.keep(_with_both(tried, sets, "shingles").mapInArrow(_confirm(how), "a long, b long"), "links")
     merged = components(links, scratch, "merged")
 
@@ -267,12 +290,12 @@ def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "
                       F.coalesce("main", "pivot").alias("main")))
     placed = scratch.keep(placed.withColumn("astray", F.col("comp") != F.col("main")), "placed")
     mixed = placed.groupBy("key").agg(F.count_if("astray").alias("strays")).where("strays > 0")
-    open_ = placed.join(mixed, "key").join(signs.select("rep", "sign"), "rep")
+    open_ = placed.join(mixed, "key").join(sets.select("rep", "sketch"), "rep")
     tiles = lambda n: F.ceil(n / F.lit(how.tile)).cast("int")
     mine = lambda n: F.pmod(F.xxhash64("rep"), tiles(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), tiles(n) - 1))
     members, strays = F.col("members"), F.col("strays")
-    body = ("key", "rep", "comp", "sign")
+    body = ("key", "rep", "comp", "sketch")
     rows_of_tile = (open_.where("astray").select(*body, F.lit(True).alias("astray"), mine(strays).alias("i"),
                                                  each(members).alias("j"))
                     .union(open_.select(*body, F.lit(False).alias("astray"), each(strays).alias("i"),
