@@ -50,3 +50,21 @@ def test_guards(spark, tmp_path):
     (empty / "general" / "2024-01-01.json").write_text("[]")
     with pytest.raises(ValueError, match="no messages"):
         build_dataset(spark, str(empty), str(tmp_path / "out2"))
+
+
+def test_failed_build_keeps_the_former_output(spark, mini_export, tmp_path):
+    import pytest
+    out = str(tmp_path / "out")
+    first = build_dataset(spark, mini_export, out, Options(window=100.0))
+    assert first.failed_files == 5 and sum(r["n_files"] for r in first.file_report) >= 6
+    assert spark.read.parquet(first.paths["quarantine"]).count() == 5
+    n = spark.read.parquet(first.paths["dataset"] + "/parquet").count()
+    bots = tmp_path / "bots"
+    (bots / "general").mkdir(parents=True)
+    (bots / "users.json").write_text("[]")
+    (bots / "channels.json").write_text("[]")
+    (bots / "general" / "2024-01-01.json").write_text('[{"text": "x", "ts": "1.0", "bot_id": "B"}]')
+    with pytest.raises(ValueError, match="no messages"):
+        build_dataset(spark, str(bots), out)
+    assert spark.read.parquet(first.paths["dataset"] + "/parquet").count() == n
+    assert not [f for f in os.listdir(out) if f.startswith("_staging")]

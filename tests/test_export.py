@@ -20,7 +20,8 @@ def test_discovery_and_path_columns(spark, mini_export):
     # skipped: canvases.json (name), UP.JSON (case), extra.json (root level)
     assert not any(p.endswith(("canvases.json", "UP.JSON")) or p == "extra.json" for p in files)
     # the shallower general/2024-01-01.json loses against general/sub/2024-01-01.json
-    assert "general/2024-01-01.json" not in files and "general/sub/2024-01-01.json" in files
+    lost = {r.path for r in src.losing_files(exp.files).collect()}
+    assert [p for p in files if files[p].path in lost] == ["general/2024-01-01.json"]
     assert files["general/sub/2024-01-02.json"].channel == "general"
     assert files["general/a.2024-01-03.json"].date == "2024-01-03"
     assert files["a b+c/2024-01-01.json"].channel == "a b+c"
@@ -71,3 +72,53 @@ def test_bronze_roundtrip(spark, mini_export, tmp_path):
     assert b.count() == exp.messages.count()
     plan = b.filter("date = '2024-01-02'").select("text")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan
+
+
+def _write(root, path, text):
+    import os
+    os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+    with open(f"{root}/{path}", "w") as f:
+        f.write(text)
+
+
+GOOD = '[{"user": "U1", "text": "%s", "ts": "1700000000.5", "reactions": [1]}]'
+
+
+def test_winner_names_and_strict_json(spark, tmp_path):
+    _write(tmp_path / "data", "users.json", "[]")
+    _write(tmp_path / "data", "channels.json", "[]")
+    _write(tmp_path / "data", "general/2024-01-01.json", GOOD % "good")
+    _write(tmp_path / "data", "general/sub/2024-01-01.json", "[{broken")  # deeper, but not decodable
+    _write(tmp_path / "data", "general/_x/2024-01-02.json", GOOD % "hidden folder")
+    _write(tmp_path / "data", "general/.2024-01-03.json", GOOD % "hidden file")
+    _write(tmp_path / "data", "100%/a%41.2024-01-04.json", GOOD % "percent")
+    _write(tmp_path / "data", "general/2024-01-05.json", "[{'text': 'single'}]")
+    _write(tmp_path / "data", "general/2024-01-06.json", GOOD % "one" + GOOD % "two")
+    _write(tmp_path / "data", "general/2024-01-07.json", '[{"text": "first", "text": "last"}]')
+    _write(tmp_path / "data", "general/2024-01-08.json", '[{"text": "a"}]}{"a":[{"text": "b"}]')
+    exp = src.read_export(spark, str(tmp_path / "data"))
+    got = {(r.channel, r.date): r.text for r in exp.messages.collect()}
+    assert got == {("general", "2024-01-01"): "good", ("general", "2024-01-02"): "hidden folder",
+                   ("100%", "2024-01-04"): "percent",
+                   ("general", "2024-01-07"): "last"}
+    bad = {r.date: r.reason for r in exp.quarantine.collect()}
+    assert set(bad) == {"2024-01-01", "2024-01-03", "2024-01-05", "2024-01-06", "2024-01-08"}
+    assert bad["2024-01-03"] == "hidden name"
+    assert exp.messages.where("fields['reactions'] = '[1]'").count() == 3
+
+
+def test_relative_root_and_bad_directory(spark, tmp_path):
+    import os
+
+    import pytest
+    root = str(tmp_path / "tmp" / "data")
+    _write(root, "users.json", "{not json")
+    _write(root, "channels.json", "[]")
+    _write(root, "tmp/0042.json", GOOD % "x")
+    exp = src.read_export(spark, "./" + os.path.relpath(root))
+    assert [(r.channel, r.date) for r in exp.messages.collect()] == [("tmp", "0042")]
+    with pytest.raises(Exception, match="users.json is not a JSON array"):
+        exp.users.collect()
+    src.write_bronze(exp.messages, str(tmp_path / "bronze"))
+    b = src.read_bronze(spark, str(tmp_path / "bronze"))
+    assert [r.date for r in b.collect()] == ["0042"] and filters.by_datestring(b, "2024-13").count() == 0

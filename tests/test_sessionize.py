@@ -10,20 +10,13 @@ from threadloom.operators.sessionize import break_flags, sessionize
 
 
 def brute_force(rows, window, min_n, max_n):
-    """rows: (id, ts, thread) already in (ts, id) order -> list of id lists."""
-    out, cur = [], []
-    for rid, ts, thr in rows:
-        if cur:
-            _, pts, pthr = cur[-1]
-            if ts - pts < window and thr == pthr and len(cur) < max_n:
-                cur.append((rid, ts, thr))
-                continue
-            if len(cur) >= min_n:
-                out.append([r[0] for r in cur])
-        cur = [(rid, ts, thr)]
-    if cur and len(cur) >= min_n:
-        out.append([r[0] for r in cur])
-    return out
+    """W1-W4 as defined: positions of gap and thread breaks, runs between them
+    cut into chunks of the cap, chunks below the minimum size left out."""
+    at = [0] + [i for i in range(1, len(rows))
+                if rows[i][1] - rows[i - 1][1] >= window or rows[i][2] != rows[i - 1][2]] + [len(rows)]
+    cap = max(1, max_n)
+    chunks = [rows[k:min(k + cap, b)] for a, b in zip(at, at[1:]) for k in range(a, b, cap)]
+    return [[r[0] for r in c] for c in chunks if len(c) >= min_n]
 
 
 def _random_rows(rng, n, span=60.0):

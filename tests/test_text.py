@@ -38,16 +38,14 @@ def test_channels_and_urls(spark):
     assert got == ["http://a", "http://c|lab", "http://a>,<http://b", "<mailto:x@y>", "<http://n x>"]
 
 
-def test_mentions_both_strategies(spark):
+def test_mentions(spark):
     users = spark.createDataFrame([("U1", "Ann $2 \\Lee", 0), ("U2", None, 1), ("U1", "Second", 2)],
                                   "id string, real_name string, ord long")
     msgs = spark.createDataFrame([(1, "hi <@U1> and <@U9>"), (2, "<@U1|ann> <@U1><@U2>"), (3, ""), (4, None)],
                                  "k long, text string")
     want = {1: "hi @Ann $2 \\Lee and @U9", 2: "<@U1|ann> @Ann $2 \\Lee@U2", 3: "", 4: ""}
-    for strategy in ("map", "join"):
-        out = authors.clean_messages(msgs, users, key=["k"], strategy=strategy)
-        got = {r.k: r.content for r in out.collect()}
-        assert got == want, strategy
+    got = {r.k: r.content for r in authors.clean_messages(msgs, users, key=["k"]).collect()}
+    assert got == want
 
 
 def test_author_lookup(spark):
@@ -65,32 +63,17 @@ def test_parse_ts_and_dates(spark):
     assert [r.s for r in df.select(tx.date_string("y", "m", "d").alias("s")).collect()] == ["2024-01-05", "999-12-31"]
 
 
-def _python_cleaning(text, names):
-    """Brute-force oracle with Python's own regex and whitespace semantics."""
-    import re as pyre
-    if not isinstance(text, str):
-        return ""
-    steps = [
-        (r"<@([A-Za-z0-9]+)>", lambda m: "@" + names.get(m.group(1), m.group(1))),
-        (r"<#([A-Za-z0-9]+)\|([^>]+)>", lambda m: "#" + m.group(2)),
-        (r"<(http\S+)>", lambda m: m.group(1)),
-    ]
-    for pattern, repl in steps:
-        text = pyre.sub(pattern, repl, text)
-    return " ".join(text.split())
-
-
-def test_cleaning_matches_python_on_random_text(spark):
-    import random
-    rng = random.Random(17)
-    pieces = ["<@U1>", "<@U2>", "<@U9>", "<@U1|x>", "<#C1|gen>", "<#C2>", "<http://a>", "<http://b|lab>",
-              "<http://c", ">", ",", "<", "|", "http", "word", "\u00e9", "$1", "\\", " ", "  ", "\t", "\n",
-              "\u00a0", "\u3000", "\x1c", "\u2028", "\u200b", "\u0085", "\u1680", "x"]
-    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [None]
+def test_cleaning_golden_table(spark):
+    """SURVEY T1-T5: each kind of markup alone, side by side, nested and with every kind of white space."""
     users = spark.createDataFrame([("U1", "Ann $2 \\Lee", 0), ("U2", "Bo\tB", 1)], "id string, real_name string, ord long")
-    names = {"U1": "Ann $2 \\Lee", "U2": "Bo\tB"}
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
-    want = {i: _python_cleaning(t, names) for i, t in enumerate(texts)}
-    for strategy in ("join", "map"):
-        got = {r.k: r.content for r in authors.clean_messages(df, users, key=["k"], strategy=strategy).collect()}
-        assert got == want, strategy
+    table = [
+        ("<@U1><@U2>", "@Ann $2 \\Lee@Bo B"), ("<@U9>", "@U9"), ("<@U1|x>", "<@U1|x>"), ("<@ U1>", "<@ U1>"),
+        ("<#C1|gen>", "#gen"), ("<#C2>", "<#C2>"), ("<#C1|a b> c", "#a b c"), ("<#C1|<http://x>", "#<http://x"),
+        ("<http://a>", "http://a"), ("<http://b|lab>,<http://c>", "http://b|lab>,<http://c"), ("<http://a b>", "<http://a b>"),
+        ("<https://x>\u3000<http>", "https://x <http>"), ("<httpx>", "httpx"), ("<@U1> <#C1|g> <http://a>", "@Ann $2 \\Lee #g http://a"),
+        (" a \t\n b\u00a0\u1680c\x1cd\u0085 ", "a b c d"), ("a\u200bb", "a\u200bb"), ("\u2028", ""), ("", ""), (None, ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(table)], "k long, text string")
+    got = {r.k: r.content for r in authors.clean_messages(df, users, key=["k"]).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(table)}
+

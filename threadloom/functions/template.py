@@ -3,6 +3,8 @@ expressions (higher-order array functions, no Python)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ def with_system_prompt(messages: Column, prompt: str | None) -> Column:
 def truncate_at_stop(text: Column, markers=STOP_MARKERS) -> Column:
     """Cut a generated reply after the first stop marker (the marker is
     kept), then strip surrounding whitespace as the reply decoding does."""
-    alt = "|".join(m.replace("|", "\\|") for m in markers)
+    alt = "|".join(re.escape(m) for m in markers)
     pat = "(?s)^(.*?(?:" + alt + "))"
     cut = F.regexp_extract(text, pat, 1)
     return strip_ws(F.when(cut != F.lit(""), cut).otherwise(text))

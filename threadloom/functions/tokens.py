@@ -42,6 +42,18 @@ def _load(path: str):
     return tok
 
 
+def _isolated(values: list, run) -> list:
+    """``run`` over the batch; if that fails, one by one with null for a failing value."""
+    if not values:
+        return []
+    try:
+        return run(values)
+    except Exception:
+        if len(values) == 1:
+            return [None]
+        return [x for v in values for x in _isolated([v], run)]
+
+
 def tokenizer_counter(path: str, add_special_tokens: bool = True) -> TokenCounter:
     """Token count with a real tokenizer file.  With ``add_special_tokens`` the
     tokenizer's post-processor adds its BOS, as ``encode`` does in the
@@ -54,9 +66,9 @@ def tokenizer_counter(path: str, add_special_tokens: bool = True) -> TokenCounte
         for s in batches:
             vals = s.where(s.notna(), None).tolist()
             ok = [v for v in vals if v is not None]
-            enc = tok.encode_batch(ok, add_special_tokens=add_special_tokens) if ok else []
-            it = iter(enc)
-            yield pd.Series([len(next(it).ids) if v is not None else None for v in vals], dtype="Int32")
+            it = iter(_isolated(ok, lambda part: [len(e.ids) for e in tok.encode_batch(
+                part, add_special_tokens=add_special_tokens)]))
+            yield pd.Series([next(it) if v is not None else None for v in vals], dtype="Int32")
 
     return count_tokens
 

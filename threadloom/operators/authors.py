@@ -1,10 +1,7 @@
 """J1 (author name) and J2 (mentions inside text): lookups into the user
-directory.
-
-The directory is small next to the messages but not of a fixed size, so
-every broadcast here sits behind a row-count check of the directory, with a
-shuffle join beyond it.
-"""
+directory, by equi-joins whose strategy is left to the optimizer's own size
+check.  Rows without an id get a spread key of their own that no user has, so
+they are no hot key when the join shuffles."""
 
 from __future__ import annotations
 
@@ -13,12 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import MENTION_RE, UNKNOWN_USER, clean_rest, rejoin_mentions, replace_mentions
-
-# Directory sizes up to which the map / broadcast forms are used.
-MAP_MAX_USERS = 2_000
-BROADCAST_MAX_USERS = 2_000_000
-
+from threadloom.functions.text import MENTION_RE, UNKNOWN_USER, clean_rest, rejoin_mentions
 
 def dedup_users(users: DataFrame) -> DataFrame:
     """First entry per id wins (the reference scans the list in order);
@@ -27,14 +19,9 @@ def dedup_users(users: DataFrame) -> DataFrame:
     return users.groupBy("id").agg(F.coalesce(first["n"], F.col("id")).alias("real_name"))
 
 
-def _count(users: DataFrame) -> int:
-    """Row count of the directory itself (one small scan, not the messages),
-    remembered on the DataFrame object so one query counts it once."""
-    n = getattr(users, "_threadloom_rows", None)
-    if n is None:
-        n = users.count()
-        users._threadloom_rows = n
-    return n
+def spread_key(id_col: Column, *by: Column) -> Column:
+    """The id, or for a null or empty one a key by ``by`` that is no id."""
+    return F.when(id_col.isNull() | (id_col == ""), F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string"))).otherwise(id_col)
 
 
 def resolve_author(df: DataFrame, users: DataFrame, user_col: str = "user",
@@ -42,63 +29,42 @@ def resolve_author(df: DataFrame, users: DataFrame, user_col: str = "user",
     """``user`` id -> real name; empty/missing id -> ``Unknown User``;
     unknown id -> the id itself."""
     u = dedup_users(users).select(F.col("id").alias("_uid"), F.col("real_name").alias("_uname"))
-    if _count(users) <= BROADCAST_MAX_USERS:
-        u = F.broadcast(u)
-    j = df.join(u, F.col(user_col) == F.col("_uid"), "left")
+    by = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map") and c != user_col]
+    j = df.join(u, spread_key(F.col(user_col), *(by or [F.lit(0)])) == F.col("_uid"), "left")
     name = (F.when(F.col(user_col).isNull() | (F.col(user_col) == ""), F.lit(UNKNOWN_USER))
              .otherwise(F.coalesce(F.col("_uname"), F.col(user_col))))
     return j.withColumn(out, name).drop("_uid", "_uname")
 
 
-def names_map(users: DataFrame) -> Column:
-    """The directory as one ``map<id, name>`` value (scalar subquery, computed
-    once per query).  Only for directories under ``MAP_MAX_USERS``."""
-    d = dedup_users(users)
-    return d.agg(F.map_from_entries(F.collect_list(F.struct("id", "real_name")))).scalar()
-
-
-def resolve_mentions(df: DataFrame, users: DataFrame, text: str = "text", out: str = "text",
-                     key: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
+def resolve_mentions(df: DataFrame, users: DataFrame, key: Sequence[str], text: str = "text",
+                     out: str = "text") -> DataFrame:
     """Every ``<@ID>`` in ``text`` -> ``@name``.
 
-    ``join`` (default): mentions are exploded with their position (messages
-    without one keep a single row), looked up with an equi-join on the user id
-    (broadcast when the directory passed the size check, shuffle join beyond
-    it) and regrouped per message by ``key`` (a unique row key); the rest of
-    the row travels with the regroup, so this is one shuffle of the messages.
-    ``map``: the directory becomes one map value attached to every row - a
-    Spark map lookup scans its keys, so this is only for directories of a few
-    hundred entries (``MAP_MAX_USERS``).
+    Only messages that hold a mention take part: their mentions are exploded
+    with their position, looked up with an equi-join on the user id and
+    regrouped per message by ``key`` (a unique row key); the rest of the row
+    travels with the regroup.  All other messages pass by untouched.
     """
-    if strategy == "auto":
-        strategy = "join" if key else "map"
-    if strategy == "map":
-        if _count(users) > MAP_MAX_USERS:
-            raise ValueError("directory too large for the map strategy; pass a row key for the join strategy")
-        # bound to a column first: subqueries may not appear inside lambdas
-        x = df.withColumn("_names", names_map(users))
-        return x.withColumn(out, replace_mentions(F.col(text), F.col("_names"))).drop("_names")
     key = list(key)
     rest = [c for c in df.columns if c not in key]
+    ids = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(MENTION_RE), 1)
+    found = df.withColumn("_ids", ids)
+    plain = found.filter(F.size("_ids") == 0).drop("_ids").withColumn(out, F.col(text))
     d = dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
-    if _count(users) <= BROADCAST_MAX_USERS:
-        d = F.broadcast(d)
-    ex = df.select(*key, F.struct(*rest).alias("_row"),
-                   F.posexplode_outer(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(MENTION_RE), 1))
-                   .alias("_i", "_mid"))
+    ex = found.filter(F.size("_ids") > 0).select(*key, F.struct(*rest).alias("_row"), F.posexplode("_ids").alias("_i", "_mid"))
     ex = ex.join(d, "_mid", "left").select(
         *key, "_row", "_i", F.concat(F.lit("@"), F.coalesce("_mname", "_mid")).alias("_n"))
     g = ex.groupBy(*key).agg(F.first("_row").alias("_row"),
-                            F.sort_array(F.collect_list(F.when(F.col("_i").isNotNull(), F.struct("_i", "_n"))))
-                            .alias("_ns"))
+                            F.sort_array(F.collect_list(F.struct("_i", "_n"))).alias("_ns"))
     g = g.select(*key, *[F.col("_row")[c].alias(c) for c in rest], "_ns")
-    return g.withColumn(out, rejoin_mentions(F.col(text), F.col("_ns")["_n"])).drop("_ns")
+    named = g.withColumn(out, rejoin_mentions(F.col(text), F.col("_ns")["_n"])).drop("_ns")
+    return named.unionByName(plain)
 
 
-def clean_messages(df: DataFrame, users: DataFrame, text: str = "text", out: str = "content",
-                   key: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
+def clean_messages(df: DataFrame, users: DataFrame, key: Sequence[str], text: str = "text",
+                   out: str = "content") -> DataFrame:
     """T6 on a message table: T5 (non-string -> ''), mentions, channel refs,
     URLs, whitespace - in this order."""
     df = df.withColumn(out, F.coalesce(F.col(text), F.lit("")))
-    df = resolve_mentions(df, users, text=out, out=out, key=key, strategy=strategy)
+    df = resolve_mentions(df, users, key, text=out, out=out)
     return df.withColumn(out, clean_rest(F.col(out)))

@@ -47,34 +47,28 @@ def messages_text(messages) -> F.Column:
 
 
 def clean_and_collect(grouped: DataFrame, users: DataFrame, text: str = "text", conv: str = "conv_id",
-                      pos: str = "conv_pos", system_prompt: str | None = None,
-                      mention_strategy: str = "join") -> DataFrame:
+                      pos: str = "conv_pos", system_prompt: str | None = None) -> DataFrame:
     """T1-T6 + A1/W5/N1/N2 with one shuffle.
 
     Rows are hash-partitioned by conversation once.  Mentions are exploded
-    and looked up with an equi-join on the (size-checked, broadcast) user
-    directory; the names are then gathered in the conversation aggregate
+    and looked up with an equi-join on the user directory (rows without a
+    mention under a spread key); the names are then gathered in the conversation aggregate
     itself, next to the messages, so no per-message regroup is needed.  Each
     message's text is rebuilt inside the conversation (at most
     ``max_messages`` messages), cleaned, and numbered."""
     from threadloom.functions.text import MENTION_RE, clean_rest, rejoin_mentions
     from threadloom.operators import authors
-    if mention_strategy == "map":
-        from threadloom.operators.authors import clean_messages
-        c = clean_messages(grouped, users, text=text, out="content", strategy="map")
-        return collect_conversations(c, conv=conv, pos=pos, content="content", system_prompt=system_prompt)
     # CPU-bound stage (regexes per message): an explicit partition count keeps
     # AQE from coalescing it by bytes into a couple of tasks
     spark = grouped.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     x = grouped.repartition(n, conv)
     d = authors.dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
-    if authors._count(users) <= authors.BROADCAST_MAX_USERS:
-        d = F.broadcast(d)
     t = F.coalesce(F.col(text), F.lit(""))
     ex = x.select(F.col(conv), F.col(pos).alias("_p"), t.alias("_t"),
                   F.posexplode_outer(F.regexp_extract_all(t, F.lit(MENTION_RE), 1)).alias("_i", "_mid"))
-    ex = ex.join(d, "_mid", "left")
+    ex = (ex.withColumn("_key", authors.spread_key(F.col("_mid"), F.col(conv), F.col("_p")))
+          .join(d.withColumnRenamed("_mid", "_key"), "_key", "left"))
     first_row = F.coalesce(F.col("_i"), F.lit(0)) == 0
     g = ex.groupBy(conv).agg(
         F.sort_array(F.collect_list(F.when(first_row, F.struct(F.col("_p").alias("p"), F.col("_t").alias("t")))))

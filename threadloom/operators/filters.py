@@ -44,12 +44,17 @@ def by_channel(df: DataFrame, channel: str) -> DataFrame:
 
 def where(df: DataFrame, predicate: Column | str | Callable[[dict], bool]) -> DataFrame:
     """arbitrary predicate.  A Column or SQL string stays in the JVM; a
-    Python callable receives the row as a dict (slow path, row-at-a-time)."""
+    Python callable receives each row as a dict, in Arrow batches (slow path:
+    select the columns it needs first)."""
     if isinstance(predicate, (Column, str)):
         return df.filter(predicate)
-    fn = predicate
-    udf = F.udf(lambda r: bool(fn(r.asDict())), T.BooleanType())
-    return df.filter(udf(F.struct(*[F.col(c) for c in df.columns])))
+
+    def keep(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield batch.filter(pa.array([bool(predicate(r)) for r in batch.to_pylist()], pa.bool_()))
+
+    return df.mapInArrow(keep, df.schema)
 
 
 def by_date(df: DataFrame, y: int, m: int, d: int) -> DataFrame:

@@ -80,16 +80,14 @@ def _attach_buckets(df: DataFrame, spec) -> DataFrame:
     j = x.join(F.broadcast(spec.hot), cond, "left")
     frac = (F.col(spec.ts) - x["_cb"] * F.lit(float(spec.width))) / F.lit(float(spec.width))
     sub = F.least(F.greatest(F.floor(frac * F.col("_k")), F.lit(0)), F.col("_k") - 1)
-    bk = x["_cb"] * F.lit(SUB_MAX) + F.coalesce(sub, F.lit(0)).cast("long")
+    bk = F.struct(x["_cb"].alias("bucket"), F.coalesce(sub, F.lit(0)).cast("long").alias("sub"))
     return j.select(x["*"], bk.alias("_bk")).drop("_cb")
 
 
-def _key_eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+def key_text(key: Column) -> Column:
+    """A key as part of a conversation id: ":" and "\\" escaped, null as "\\N"."""
+    text = key.cast("string")
+    return F.coalesce(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")), F.lit("\\N"))
 
 
 def sessionize(
@@ -188,7 +186,7 @@ def sessionize(
         chunk.cast("long").alias("chunk"),
         (rn - run_start - chunk * cap + 1).cast("long").alias("conv_pos"),
         F.least(F.lit(cap).cast("long"), run_end - run_start + 1 - chunk * cap).cast("long").alias("conv_size"),
-        F.concat_ws(":", *[x[k].cast("string") for k in keys], run_start.cast("long").cast("string"),
+        F.concat_ws(":", *[key_text(x[k]) for k in keys], run_start.cast("long").cast("string"),
                     chunk.cast("long").cast("string")).alias("conv_id"),
         *[v.alias(k) for k, v in extra.items()])
     out = out.filter(c("conv_size") >= F.lit(int(min_messages)))

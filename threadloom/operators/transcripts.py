@@ -17,10 +17,10 @@ many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.functions.template import BOS, render_message, truncate_at_stop
+from threadloom.functions.template import BOS, CONTROL_COMMANDS, render_message, truncate_at_stop
 from threadloom.functions.text import strip_ws
 from threadloom.operators.scan import prefix_scan
 
@@ -42,7 +42,7 @@ def reset_segments(df: DataFrame, session: str = "session_id", turn: str = "turn
     cmd = F.when(F.col(role) == F.lit("user"), _command(text))
     x = (df.withColumn("_reset", F.when(cmd.isin("new", "clear_history"), 1).otherwise(0))
            .withColumn("_exit", F.when(cmd == F.lit("exit"), 1).otherwise(0))
-           .withColumn("_ctrl", F.coalesce(cmd.isin("new", "clear_history", "exit", "info"), F.lit(False))))
+           .withColumn("_ctrl", F.coalesce(cmd.isin(*CONTROL_COMMANDS), F.lit(False))))
     x = prefix_scan(x, [session], [turn], F.floor(F.col(turn) / TURN_BUCKET),
                     {"segment": ("sum", "_reset"), "_exited": ("sum", "_exit")})
     return (x.filter((F.col("_exited") == 0) & ~F.col("_ctrl"))
@@ -55,8 +55,9 @@ def turn_context(df: DataFrame, system_prompt: str = "", session: str = "session
                  newline: str = "literal") -> DataFrame:
     """R3 on the output of :func:`reset_segments`: for every user turn,
     ``n_context`` (messages in the model input, system included) and
-    ``context_chars`` (length of the rendered input)."""
-    part = render_message(F.col(role), F.col(text), newline)
+    ``context_chars`` (length of the rendered input).  Texts enter the context
+    without surrounding white space, as the chat loop strips input and reply."""
+    part = render_message(F.col(role), strip_ws(F.col(text)), newline)
     sys_len = len(BOS) + len(render_message_text("system", system_prompt, newline))
     x = (df.withColumn("_one", F.lit(1))
            .withColumn("_len", F.length(part).cast("long")))
@@ -68,6 +69,18 @@ def turn_context(df: DataFrame, system_prompt: str = "", session: str = "session
              .drop("_one", "_len", "_n", "_chars"))
 
 
+def context_messages(df: DataFrame, last_k: int, system_prompt: str = "", session: str = "session_id",
+                     turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """R3 itself, bounded: for every user turn the ``context`` array the model
+    gets - the system message and the last ``last_k`` messages of the segment,
+    the turn included, stripped."""
+    own = F.struct(F.col(role).alias("role"), strip_ws(F.col(text)).alias("content"))
+    w = Window.partitionBy(session, "segment").orderBy(turn).rowsBetween(-(last_k - 1), Window.currentRow)
+    x = df.withColumn("context", F.collect_list(own).over(w)).filter(F.col(role) == F.lit("user"))
+    system = F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content"))
+    return x.withColumn("context", F.concat(F.array(system), F.col("context")))
+
+
 def render_message_text(role: str, content: str, newline: str = "literal") -> str:
     from threadloom.functions.template import role_parts
     pre, suf = role_parts(newline).get(role, ("", ""))

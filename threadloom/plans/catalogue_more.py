@@ -423,6 +423,7 @@ def _transcript(spark: SparkSession, sf: str) -> DataFrame:
     t = (F.when(r & (turn == 2), F.lit(" New "))
           .when(r & (turn == 4), F.lit("clear_history"))
           .when(r & (turn == 6) & F.col("conv_id").cast("string").endswith("3"), F.lit("EXIT"))
+          .when(F.col("turn") % 3 == 1, F.concat(F.lit("  "), F.col("text"), F.lit(" \n")))
           .otherwise(F.col("text")))
     return c.select(F.col("conv_id").alias("session_id"), "turn", "role", t.alias("text"))
 
@@ -445,7 +446,7 @@ _SYS_LEN = len(BOS) + len("System: " + CHAT_PROMPT + NL + NL)
 
 
 @register("turn_context", f"""WITH {_SEG_SQL},
-cx AS (SELECT *, count(*) OVER w AS n, sum(length({sql_render_part('role', 'text')})) OVER w AS chars
+cx AS (SELECT *, count(*) OVER w AS n, sum(length({sql_render_part('role', sql_strip('text'))})) OVER w AS chars
        FROM seg WINDOW w AS (PARTITION BY session_id, segment ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT session_id, turn, segment, CAST(n + 1 AS BIGINT) AS n_context, CAST(chars + {_SYS_LEN} AS BIGINT) AS context_chars
 FROM cx WHERE role = 'user'""")

@@ -13,6 +13,7 @@ write, so they cost no extra pass.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,7 +43,6 @@ class Options:
     split_mode: str = "exact"         # "exact" or "hash"
     bucket_seconds: float = DEFAULT_BUCKET_SECONDS
     newline: str = "literal"
-    mention_strategy: str = "join"
 
 
 @dataclass
@@ -50,6 +50,8 @@ class BuildResult:
     counters: dict = field(default_factory=dict)
     card: dict = field(default_factory=dict)
     paths: dict = field(default_factory=dict)
+    file_report: list = field(default_factory=list)  # per channel: n_files, n_failed, n_messages
+    failed_files: int = 0
 
 
 def scope_keys(scope: str) -> tuple[str, ...]:
@@ -71,8 +73,7 @@ def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
     grouped = sessionize(msgs, keys=scope_keys(opt.scope), ts="ts_num", order=ORDER, thread="thread_ts",
                          window=opt.window, max_messages=opt.max_messages, min_messages=opt.min_messages,
                          bucket_seconds=opt.bucket_seconds)
-    convs = conversations.clean_and_collect(grouped, users, system_prompt=opt.system_prompt,
-                                            mention_strategy=opt.mention_strategy)
+    convs = conversations.clean_and_collect(grouped, users, system_prompt=opt.system_prompt)
     if "grouped" in obs:
         convs = convs.observe(obs["grouped"], F.count(F.lit(1)).alias("conversations_grouped"))
     allx = examples.to_examples(convs, opt.counter, max_length=opt.max_length, min_size=opt.min_formatted,
@@ -87,13 +88,42 @@ def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
     return out.withColumn("split_hash", split.split_hash_key("conv_id", opt.seed))
 
 
+def _swap(spark: SparkSession, staged: str, out_dir: str, names: list[str]) -> None:
+    """Put the staged tables in place of the former ones."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        fs.delete(Path(f"{out_dir}/{name}"), True)
+        if not fs.rename(Path(f"{staged}/{name}"), Path(f"{out_dir}/{name}")):
+            raise OSError(f"cannot move {staged}/{name} into place")
+
+
 def build_dataset(spark: SparkSession, export_dir: str, out_dir: str, options: Options | None = None) -> BuildResult:
+    """The whole build.  All tables are written to a staging folder inside
+    ``out_dir`` and take the former ones' place only when every guard (S8) has
+    passed; a failed build leaves the former output as it was."""
     opt = options or Options()
-    exp = src.read_export(spark, export_dir)
+    staged = f"{out_dir}/_staging-{uuid.uuid4().hex}"
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        result = _build(spark, export_dir, staged, opt)
+        names = ["bronze", "quarantine", "dataset", "dataset_sample", "dataset_card"]
+        _swap(spark, staged, out_dir, names)
+        result.paths = {n.removeprefix("dataset_"): f"{out_dir}/{n}" for n in names}
+        return result
+    finally:
+        fs.delete(Path(staged), True)
+
+
+def _build(spark: SparkSession, export_dir: str, out_dir: str, opt: Options) -> BuildResult:
+    exp = src.read_export(spark, export_dir, decoded_path=f"{out_dir}/decoded")
+    report = [r.asDict() for r in src.file_report(exp.files).orderBy("channel").collect()]  # one row a channel
     bronze = f"{out_dir}/bronze"
     src.write_bronze(exp.messages, bronze)
-    messages = src.read_bronze(spark, bronze, schema=exp.messages.schema)
-    if messages.isEmpty():
+    exp.quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+    messages = src.read_bronze(spark, bronze)
+    if filters.valid_messages(messages).isEmpty():
         raise ValueError(f"no messages found in {export_dir}")
 
     obs = {"found": Observation("found"), "grouped": Observation("grouped"), "formatted": Observation("formatted")}
@@ -102,9 +132,8 @@ def build_dataset(spark: SparkSession, export_dir: str, out_dir: str, options: O
     ex.select("conv_id", "text", "messages", "length", "n_tokens", "split", "split_hash") \
       .write.mode("overwrite").partitionBy("split").parquet(f"{data}/parquet")
 
-    written = spark.read.parquet(f"{data}/parquet")
-    written.select("split", "messages").write.mode("overwrite").partitionBy("split").json(f"{data}/jsonl")
-    sinks.write_sample_log(written, f"{out_dir}/dataset_sample")
+    written = spark.read.schema(ex.select("conv_id", "text", "messages", "length", "n_tokens", "split_hash", "split").schema) \
+        .parquet(f"{data}/parquet")
     card = sinks.write_card(written, f"{out_dir}/dataset_card")
     counters = {}
     for o in obs.values():
@@ -113,6 +142,7 @@ def build_dataset(spark: SparkSession, export_dir: str, out_dir: str, options: O
     counters["test"] = card["eval_samples"]
     if counters["train"] + counters["test"] == 0:
         raise ValueError("no valid examples found after filtering")
-    return BuildResult(counters=counters, card=card,
-                       paths={"bronze": bronze, "dataset": data, "sample": f"{out_dir}/dataset_sample",
-                              "card": f"{out_dir}/dataset_card"})
+    written.select("split", "messages").write.mode("overwrite").partitionBy("split").json(f"{data}/jsonl")
+    sinks.write_sample_log(written, f"{out_dir}/dataset_sample")
+    return BuildResult(counters=counters, card=card, file_report=report,
+                       failed_files=sum(r["n_failed"] for r in report))

@@ -35,8 +35,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is (or the context already has it).  Only when it is unset (local
-    tests) a fresh temp folder is made.  The context's folder is set once.
+    as is (or the context already has it); unset, it is an error there.  On a
+    local master (tests) a fresh temp folder is made.  The context's folder is
+    set once.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="threadloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)

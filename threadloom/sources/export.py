@@ -11,30 +11,32 @@ Layout::
 * Decode (S4/S5): each file is one row (``wholetext``) decoded with
   ``from_json`` into ``array<map<string,string>>`` - the map keeps a key that
   is present with a ``null`` value, which the human-message filter needs.  A
-  file that is not UTF-8, not one JSON array of objects, or has a ``null``
-  element or trailing text is quarantined whole, as the reference skips it.
+  file that is not UTF-8, not exactly one JSON array of objects in strict
+  syntax, or has a ``null`` element is quarantined whole, as the reference
+  skips it.  Of a repeated key the last value counts.
 * Path columns (S6): ``channel`` = first directory under the root (nested
-  folders roll up), ``date`` = second-to-last dot part of the file name.
-* One file per ``(channel, date)`` (S7): the deepest path wins, then the
-  greatest path; chosen on a path-only listing (``binaryFile`` without
-  content) and applied with a semi join.
-
-The Hadoop file source ignores names starting with ``_`` or ``.``; channel
-directories with such names are passed as extra roots (files and sub-folders
-with such names inside a channel are still not read - a documented
-difference).  A decoded export should be written once as the bronze table
+  folders roll up), ``date`` = second-to-last dot part of the file name,
+  always a string.
+* One file per ``(channel, date)`` (S7): among the decodable files the deepest
+  path wins, then the greatest path (:func:`losing_files`, one rule for batch
+  and stream); the few losing files are left out by an anti join.
+
+The Hadoop file source ignores names starting with ``_`` or ``.``; such
+folders, at any depth, are passed as extra roots; such files are quarantined
+as ``hidden name``, so nothing is skipped unreported.  A decoded export should be written once as the bronze table
 (:func:`write_bronze`) and read from there: JSON text cannot be pruned.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import parse_ts
-from threadloom.sources.paths import relative_path
+from threadloom.sources.paths import qualified_root, relative_path
 
 # ---------------------------------------------------------------------------
 # Fixed values (file names the export reader skips at any depth)
@@ -46,6 +48,9 @@ MESSAGE_SCHEMA = "array<map<string,string>>"
 USER_SCHEMA = "array<struct<id:string,profile:struct<real_name:string>>>"
 CHANNEL_SCHEMA = "array<struct<name:string>>"
 JSON_WS = "[ \\t\\n\\r]*"
+BRONZE_SCHEMA = ("channel string, pos int, path string, depth int, user string, ts string, ts_num double, "
+                 "thread_ts string, text string, has_text boolean, has_subtype boolean, has_bot_id boolean, "
+                 "fields map<string,string>, date string")
 
 
 @dataclass
@@ -53,7 +58,7 @@ class Export:
     users: DataFrame       # id, real_name, ord
     channels: DataFrame    # name, ord
     files: DataFrame       # path, rel_path, channel, date, depth, status, n_messages
-    messages: DataFrame    # channel, date, pos, path, user, ts, ts_num, thread_ts, text, has_text, has_subtype, has_bot_id
+    messages: DataFrame    # channel, date, pos, path, user, ts, ts_num, thread_ts, text, has_text, has_subtype, has_bot_id, fields
     quarantine: DataFrame  # path, channel, date, reason
 
 
@@ -61,30 +66,57 @@ def _strip_slash(p: str) -> str:
     return p[:-1] if p.endswith("/") and len(p) > 1 else p
 
 
-def _hidden_channel_dirs(spark: SparkSession, root: str) -> list[str]:
-    """Top-level directories whose names start with ``_`` or ``.`` (the file
-    source would skip them)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
+def _escaped(path: str) -> str:
+    """A path as a literal glob pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def export_roots(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
+    """The root and every folder below it whose name the file source would skip
+    (``_`` or ``.`` in front), found level by level; and the ``.json`` files with
+    such names, which it cannot be made to read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         raise FileNotFoundError(f"export directory not found: {root}")  # S8
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name[:1] in ("_", "."):
-            out.append(st.getPath().toString())
-    return out
+    base, level = _escaped(qualified_root(spark, root)), ""
+    out, unread = [_escaped(_strip_slash(root))], []
+    while True:
+        for st in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{base}{level}/[._]*")) or []:
+            name = st.getPath().getName()
+            if st.isDirectory():
+                out.append(_escaped(st.getPath().toString()))
+            elif name.endswith(".json") and level:
+                unread.append(st.getPath().toUri().toString())
+        level += "/*"
+        if not len(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(base + level)) or []):
+            return out, unread
 
 
 def _json_array_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path)
 
 
+def strict_array(value: str, schema: str) -> Column:
+    """The column's one JSON array, or null: strict quotes, and nothing but white
+    space around the array.  The text is parsed as a member of an object whose
+    last member, a hash of the text, must still be reached."""
+    mark = F.xxhash64(value)
+    inside = F.concat(F.lit('{"a":'), F.col(value), F.lit(',"z":'), mark.cast("string"), F.lit("}"))
+    parsed = F.from_json(inside, f"a {schema}, z long", {"allowSingleQuotes": "false"})
+    return F.when(parsed["z"] == mark, parsed["a"])
+
+
+def _required(value: str, schema: str, name: str) -> Column:
+    """A directory file that is no JSON array stops the read."""
+    got = strict_array(value, schema)
+    return F.when(got.isNull(), F.raise_error(F.lit(f"{name} is not a JSON array"))).otherwise(got)
+
+
 def read_users(spark: SparkSession, root: str) -> DataFrame:
     """``users.json``; array order is kept as ``ord`` (first match wins)."""
     f = _json_array_file(spark, f"{_strip_slash(root)}/users.json")
-    e = f.select(F.posexplode(F.from_json("value", USER_SCHEMA)).alias("ord", "u"))
+    e = f.select(F.posexplode(_required("value", USER_SCHEMA, "users.json")).alias("ord", "u"))
     return e.select(F.col("u.id").alias("id"), F.col("u.profile.real_name").alias("real_name"),
                     F.col("ord").cast("long").alias("ord"))
 
@@ -92,7 +124,7 @@ def read_users(spark: SparkSession, root: str) -> DataFrame:
 def read_channels(spark: SparkSession, root: str) -> DataFrame:
     """``channels.json`` with its array order."""
     f = _json_array_file(spark, f"{_strip_slash(root)}/channels.json")
-    e = f.select(F.posexplode(F.from_json("value", CHANNEL_SCHEMA)).alias("ord", "c"))
+    e = f.select(F.posexplode(_required("value", CHANNEL_SCHEMA, "channels.json")).alias("ord", "c"))
     return e.select(F.col("c.name").alias("name"), F.col("ord").cast("long").alias("ord"))
 
 
@@ -111,56 +143,79 @@ def _eligible(df: DataFrame) -> DataFrame:
     return df.filter((F.col("depth") >= 1) & ~F.col("file_name").isin(*SKIP_FILES))
 
 
-def list_message_files(spark: SparkSession, root: str) -> DataFrame:
-    """S3 + S7 on a path-only listing: every candidate file with ``wins``."""
-    roots = [root] + _hidden_channel_dirs(spark, root)
-    meta = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json").load(roots).select("path", "length"))
-    meta = _eligible(_path_columns(meta, root, "path"))
-    w = Window.partitionBy("channel", "date").orderBy(F.col("depth").desc(), F.col("rel_path").desc())
-    return meta.withColumn("wins", F.row_number().over(w) == 1)
-
-
-def read_export(spark: SparkSession, root: str) -> Export:
-    roots = [root] + _hidden_channel_dirs(spark, root)
-    listing = list_message_files(spark, root)
-    winners = listing.filter("wins").select("rel_path")
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """S3: every message file as (path, rel_path, depth, file_name, channel, date,
+    value); value is null for a file that cannot be read because of its name."""
+    roots, unread = export_roots(spark, root)
     raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
            .option("pathGlobFilter", "*.json").text(roots)
            .select(F.col("_metadata.file_path").alias("path"), "value"))
-    raw = _eligible(_path_columns(raw, root, "path"))
-    raw = raw.join(winners, "rel_path", "left_semi")
-
-    files, messages, quarantine = decode_files(raw)
+    if unread:
+        raw = raw.unionByName(spark.createDataFrame([(p, None) for p in unread], "path string, value string"))
+    return _eligible(_path_columns(raw, qualified_root(spark, root), "path"))
+
+
+def losing_files(files: DataFrame) -> DataFrame:
+    """Paths of the decodable files that another one of their (channel,
+    date) replaces.  Two aggregates on narrow rows, no window over a channel-day."""
+    ok = files.filter("status = 'ok'").select("channel", "date", "path", "depth")
+    best = (ok.groupBy("channel", "date").agg(F.max(F.struct("depth", "path")).alias("_best"), F.count(F.lit(1)).alias("_n"))
+            .filter("_n > 1"))
+    return ok.join(best, ["channel", "date"]).filter(F.col("path") != F.col("_best")["path"]).select("path")
+
+
+def read_export(spark: SparkSession, root: str, decoded_path: str | None = None) -> Export:
+    """The export's tables.  With ``decoded_path`` the files are decoded once
+    into a parquet table there, from which the three outputs are read."""
+    decoded = decode(read_files(spark, root))
+    if decoded_path is not None:
+        decoded.write.mode("overwrite").parquet(decoded_path)
+        decoded = spark.read.schema(decoded.schema).parquet(decoded_path)
+    files, messages, quarantine = decoded_tables(decoded)
+    messages = messages.join(losing_files(files), "path", "left_anti").select(*messages.columns)
     return Export(read_users(spark, root), read_channels(spark, root), files, messages, quarantine)
 
 
-def decode_files(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """S4/S5 on rows ``(path, rel_path, channel, date, depth, value)``: the
-    file table with its status, the exploded messages and the quarantine.
-    Shared by the batch reader and the streaming ingest."""
-    arr = F.from_json("value", MESSAGE_SCHEMA)
-    reason = (F.when(~F.is_valid_utf8("value"), F.lit("not utf-8"))
+def decode(raw: DataFrame) -> DataFrame:
+    """S4 on rows ``(path, rel_path, channel, date, depth, value)``: the decoded
+    array, or the reason for quarantine."""
+    reason = (F.when(F.col("value").isNull(), F.lit("hidden name"))
+               .when(~F.is_valid_utf8("value"), F.lit("not utf-8"))
                .when(~F.col("value").rlike("^" + JSON_WS + "\\[") | ~F.col("value").rlike("\\]" + JSON_WS + "$"),
                      F.lit("not a json array"))
                .when(F.col("_arr").isNull(), F.lit("invalid json"))
                .when(F.exists("_arr", lambda m: m.isNull()), F.lit("non-object element")))
-    decoded = raw.withColumn("_arr", arr).withColumn("reason", reason)
+    got = raw.withColumn("_arr", strict_array("value", MESSAGE_SCHEMA)).withColumn("reason", reason)
+    return got.select("path", "rel_path", "channel", "date", "depth", "reason",
+                      F.when(F.col("reason").isNull(), F.col("_arr")).alias("arr"))
+
+
+def decode_files(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The file table with its status, the exploded messages and the
+    quarantine.  Shared by the batch reader and the streaming ingest."""
+    return decoded_tables(decode(raw))
+
 
+def decoded_tables(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     quarantine = decoded.filter(F.col("reason").isNotNull()).select("path", "channel", "date", "reason")
-    good = decoded.filter(F.col("reason").isNull())
     files = decoded.select("path", "rel_path", "channel", "date", "depth",
-                           F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.col("reason")).alias("status"),
-                           F.when(F.col("reason").isNull(), F.size("_arr")).otherwise(F.lit(0)).alias("n_messages"))
-    ex = good.select("channel", "date", "path", "depth", F.posexplode("_arr").alias("pos", "m"))
+                           F.coalesce("reason", F.lit("ok")).alias("status"),
+                           F.coalesce(F.size("arr"), F.lit(0)).alias("n_messages"))
+    ex = (decoded.filter(F.col("reason").isNull())
+          .select("channel", "date", "path", "depth", F.posexplode("arr").alias("pos", "m")))
     m = F.col("m")
+
+    def last(key: str) -> Column:  # of a repeated key the last value
+        return F.try_element_at(F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(key)), F.lit(-1))["value"]
+
     messages = ex.select(
         "channel", "date", F.col("pos").cast("int").alias("pos"), "path", "depth",
-        m["user"].alias("user"), m["ts"].alias("ts"), parse_ts(m["ts"]).alias("ts_num"),
-        m["thread_ts"].alias("thread_ts"), m["text"].alias("text"),
+        last("user").alias("user"), last("ts").alias("ts"), parse_ts(last("ts")).alias("ts_num"),
+        last("thread_ts").alias("thread_ts"), last("text").alias("text"),
         F.map_contains_key(m, "text").alias("has_text"),
         F.map_contains_key(m, "subtype").alias("has_subtype"),
-        F.map_contains_key(m, "bot_id").alias("has_bot_id"))
+        F.map_contains_key(m, "bot_id").alias("has_bot_id"),
+        m.alias("fields"))  # every field, for predicates on other keys
     return files, messages, quarantine
 
 
@@ -182,15 +237,13 @@ def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite") -> Non
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str, latest_file_only: bool = False, schema=None) -> DataFrame:
-    """The bronze table.  ``latest_file_only`` applies S7 at read time (for a
-    table filled incrementally, where a later file for the same channel and
-    day replaces the earlier one): only rows of the winning file per
-    ``(channel, date)`` are kept, chosen on the distinct (path, depth) list."""
-    b = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+def read_bronze(spark: SparkSession, path: str, latest_file_only: bool = False) -> DataFrame:
+    """The bronze table; ``date`` stays the string of the file name.
+    ``latest_file_only`` applies S7 at read time (for a table filled
+    incrementally, where a later file for the same channel and day replaces the
+    earlier one)."""
+    b = spark.read.schema(BRONZE_SCHEMA).parquet(path)
     if not latest_file_only:
         return b
-    files = b.select("channel", "date", "path", "depth").distinct()
-    w = Window.partitionBy("channel", "date").orderBy(F.col("depth").desc(), F.col("path").desc())
-    winners = files.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("path")
-    return b.join(winners, "path", "left_semi")
+    files = b.select("channel", "date", "path", "depth").distinct().withColumn("status", F.lit("ok"))
+    return b.join(losing_files(files), "path", "left_anti").select(*b.columns)

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def qualified_root(spark: SparkSession, root: str) -> str:
+    """The absolute path of ``root`` (``./data`` included) as its file system
+    names it, without scheme and trailing slash."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath().rstrip("/")
+
+
 def decoded_path(col: str) -> Column:
-    """``_metadata.file_path`` / ``binaryFile.path`` are URI-encoded; ``+`` is
-    literal in a URI path, so it is protected before URL-decoding."""
+    """``_metadata.file_path`` is URI-encoded; ``+`` is literal in a URI path, so
+    it is protected before URL-decoding."""
     return F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B")))
 
 
 def relative_path(col: str, root: str) -> Column:
-    """The decoded path below ``root`` (scheme and trailing slash ignored)."""
-    r = root[:-1] if root.endswith("/") and len(root) > 1 else root
-    r = r.split("://", 1)[-1]
-    r = r[len("file:"):] if r.startswith("file:") else r
-    p = decoded_path(col)
-    return F.substring(p, F.instr(p, F.lit(r + "/")) + F.lit(len(r) + 1), 1 << 30)
+    """The decoded path below ``root`` (see :func:`qualified_root`): what follows
+    the scheme, the authority and the root itself."""
+    path = F.regexp_replace(decoded_path(col), "^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?", "")
+    return F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 1 << 30))
