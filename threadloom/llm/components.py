@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from threadloom.llm.store import Scratch
 
 
-def _star(edges: DataFrame, smaller: bool) -> DataFrame:
+def _star(edges: DataFrame, smaller: bool, scratch: Scratch, name: str) -> DataFrame:
     """Every vertex u hands its least neighbour (or itself, if less) m to its
     greater neighbours (``smaller`` false) or to its smaller ones and itself."""
     both = edges if smaller else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written, so that the join below is dealt out on its own and can split a vertex with many links
+    least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
     joined = both.join(least, "u")
     if smaller:  # edges point from the greater to the smaller vertex
         new = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
@@ -34,5 +35,6 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if tuple(print_of) == before or not print_of[0]:
             return edges
         before, step = tuple(print_of), step + 1
-        edges = scratch.keep(_star(_star(edges, smaller=False), smaller=True), f"{name}{step}")
+        stars = scratch.keep(_star(edges, False, scratch, f"{name}{step}large"), f"{name}{step}stars")
+        edges = scratch.keep(_star(stars, True, scratch, f"{name}{step}small"), f"{name}{step}")
         scratch.drop(f"{name}{step - 1}")
