@@ -120,14 +120,18 @@ def _sign(how: Settings):
     return run
 
 
+def band_keys(bands: np.ndarray, how: Settings) -> np.ndarray:
+    """Bucket keys of signatures given as (text, band, row)."""
+    factor = textbuf.stream(33, how.rows) | _U64(1)
+    return textbuf.mix((bands.astype(np.uint64) * factor).sum(axis=2, dtype=np.uint64) + textbuf.stream(34, how.bands))
+
+
 def _band_keys(how: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factor = textbuf.stream(33, how.rows) | _U64(1)
-        salt = textbuf.stream(34, how.bands)
         for batch in batches:
             rep, sign = batch.columns
             raw = np.frombuffer(b"".join(sign.to_pylist()), np.uint32).reshape(len(rep), how.bands, how.rows)
-            key = textbuf.mix((raw.astype(np.uint64) * factor).sum(axis=2, dtype=np.uint64) + salt)
+            key = band_keys(raw, how)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(rep.to_numpy(), how.bands)), pa.array(key.ravel().view(np.int64))], ["rep", "key"])
     return run
@@ -183,7 +187,8 @@ def _prune(how: Settings):
 
 def _meet(how: Settings):
     """A tile of stragglers and a tile of any members of one bucket -> surviving
-    pairs of different components."""
+    pairs of different components.  Such a pair meets in every bucket it shares;
+    it is emitted by the first band alone, and of two stragglers once."""
     steps = least_matches(how)
 
     def run(key: tuple[pa.Scalar, ...], got: pa.Table) -> pa.Table:
@@ -193,10 +198,15 @@ def _meet(how: Settings):
         both = sketches(got.column("sketch"), how)
         x, y = np.flatnonzero(astray), np.flatnonzero(~astray)
         i, j = np.repeat(x, len(y)), np.tile(y, len(x))
-        open_ = comp[i] != comp[j]
+        lost = got.column("lost").to_numpy().astype(bool)
+        open_ = (comp[i] != comp[j]) & (~lost[j] | (rep[i] < rep[j]))
         i, j = i[open_], j[open_]
         kept = survivors(both, both, i, j, steps)
-        a, b = rep[i[kept]], rep[j[kept]]
+        i, j = i[kept], j[kept]
+        bands = both[0].reshape(len(rep), how.bands, how.rows)
+        here = int(np.argmax(band_keys(bands[:1], how)[0].view(np.int64) == key[0].as_py()))
+        first = np.array([(bands[p] == bands[q]).all(axis=1).argmax() == here for p, q in zip(i, j)], dtype=bool)
+        a, b = rep[i[first]], rep[j[first]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
     return run
 
@@ -296,9 +306,9 @@ def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "
     each = lambda n: F.explode(F.sequence(F.lit(0), tiles(n) - 1))
     members, strays = F.col("members"), F.col("strays")
     body = ("key", "rep", "comp", "sketch")
-    rows_of_tile = (open_.where("astray").select(*body, F.lit(True).alias("astray"), mine(strays).alias("i"),
+    rows_of_tile = (open_.where("astray").select(*body, F.lit(True).alias("astray"), F.lit(True).alias("lost"), mine(strays).alias("i"),
                                                  each(members).alias("j"))
-                    .union(open_.select(*body, F.lit(False).alias("astray"), each(strays).alias("i"),
+                    .union(open_.select(*body, F.lit(False).alias("astray"), F.col("astray").alias("lost"), each(strays).alias("i"),
                                         mine(members).alias("j"))))
     more = rows_of_tile.groupBy("key", "i", "j").applyInArrow(_meet(how), "a long, b long").distinct()
     more = scratch.keep(more.join(tried, ["a", "b"], "left_anti"), "more")
