@@ -26,6 +26,8 @@ SMOOTHING = 1.0
 TEMPERATURE = 0.05
 #: Rows of one last histogram bin that are ranked together.
 RANKED_ROWS = 100_000
+#: Bytes of text whose n-grams are formed at once.
+SLICE_BYTES = 2 << 20
 _BINS = 4096
 _PAIR = np.uint64(int(textbuf.stream(21, 1)[0]) | 1)
 
@@ -57,7 +59,7 @@ def _count(targets):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
         for batch in batches:
-            for rows, text in textbuf.slices(batch, "text"):
+            for rows, text in textbuf.slices(batch, "text", SLICE_BYTES):
                 row, bucket = ngrams(*textbuf.buffers(text))
                 ids = rows.column(rows.schema.get_field_index("doc_id"))
                 target = np.isin(ids.fill_null(0).to_numpy(), targets.value) & ids.is_valid().to_numpy(zero_copy_only=False)
@@ -72,7 +74,7 @@ def _count(targets):
 def _score(log_ratio, text_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, text in textbuf.slices(batch, text_column):
+            for rows, text in textbuf.slices(batch, text_column, SLICE_BYTES):
                 row, bucket = ngrams(*textbuf.buffers(text))
                 n = np.bincount(row, minlength=len(text))
                 total = np.bincount(row, log_ratio.value[bucket], minlength=len(text))
