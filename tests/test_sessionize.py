@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators.scan import prefix_scan
-from threadloom.operators.sessionize import break_flags, sessionize
+from threadloom.operators.sessionize import break_flags, sessionize, with_buckets
 
 
 def brute_force(rows, window, min_n, max_n):
@@ -76,8 +76,7 @@ def test_burst_bucket_is_split(spark):
     rng = random.Random(5)
     rows = [(i, round(rng.uniform(0, 3000), 2), rng.choice([None, "a"])) for i in range(600)]
     df = spark.createDataFrame(rows, "id long, ts double, thr string")
-    from threadloom.operators.sessionize import _attach_buckets, bucket_ids
-    b = _attach_buckets(df, bucket_ids(df, [], "ts", 3600.0, 50))
+    b = with_buckets(df, [], ["ts", "id"], 3600.0, 50)
     sizes = [r["count"] for r in b.groupBy("_bk").count().collect()]
     assert len(sizes) >= 10 and max(sizes) < 120
     ordered = sorted(rows, key=lambda r: (r[1], r[0]))
@@ -90,6 +89,21 @@ def test_burst_bucket_is_split(spark):
     assert {tuple(i for _, i in sorted(v)) for v in got.values()} == expect
 
 
+@pytest.mark.parametrize("times", ["one second", "one timestamp"])
+def test_crowded_second_is_split(spark, times):
+    n, limit = 40_000, 2_000
+    burst = F.col("id") < n * 99 // 100
+    at = F.lit(50.0) if times == "one timestamp" else 50.0 + F.col("id") / n
+    df = spark.range(n).select("id", F.when(burst, at).otherwise(F.col("id") * 1.0).alias("ts"),
+                               F.lit(None).cast("string").alias("thr"))
+    sizes = [r["count"] for r in with_buckets(df, [], ["ts", "id"], 3600.0, limit).groupBy("_bk").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * limit
+    kw = dict(ts="ts", order=["id"], thread="thr", window=3.0, max_messages=7, min_messages=2)
+    cut = sessionize(df, bucket_rows=limit, **kw).select("id", "conv_id", "conv_pos", "conv_size")
+    whole = sessionize(df, bucket_rows=None, **kw).select("id", "conv_id", "conv_pos", "conv_size")
+    assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+
+
 def test_partition_count_invariance(spark):
     rng = random.Random(11)
     rows = _random_rows(rng, 200, span=300.0)

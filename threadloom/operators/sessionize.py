@@ -19,11 +19,13 @@ over the whole table, in one task).  Here it is a *two-level scan*:
    first/last local break) is carried across buckets by a window over the
    summary (its size is #keys x #buckets, never the rows);
 3. the summary is joined back on ``(key, bucket)``; the join keeps the rows'
-   hash partitioning, so the big side is shuffled exactly once.
+   hash partitioning.  The summary side repeats the shuffle with the ordering
+   columns only.
 
 A hot key (a channel holding a third of all messages) is spread over its time
-buckets; equal timestamps always share a bucket.  Conversation size is derived
-arithmetically from the next break, so no shuffle by conversation is needed.
+buckets, and a crowded bucket (a burst, a bulk import under one timestamp) is
+cut along the order key.  Conversation size is derived arithmetically from the
+next break, so no shuffle by conversation is needed.
 """
 
 from __future__ import annotations
@@ -35,53 +37,67 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600.0
 DEFAULT_BUCKET_ROWS = 2_000_000   # rows per window partition above which a time bucket is split
-SUB_MAX = 1 << 20                 # at most 2^20 sub-buckets per time bucket
-_INTERNAL = {"_cb", "_k", "_sbk", *[f"_sk{i}" for i in range(16)], "_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
+SAMPLES_PER_CUT = 256             # sampled rows between two cuts of a crowded time bucket
+_INTERNAL = {"_sbk", *[f"_sk{i}" for i in range(16)], "_bk", "_thr", "_lrn", "_lprev_ts", "_lprev_thr", "_lbrk", "_lmax", "_lnext",
              "_off", "_tot", "_fbrk", "_cmax", "_cmin", "_prev_last", "_run_len"}
 
 
-def bucket_ids(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: float,
-               bucket_rows: int | None) -> Column:
-    """Bucket id per row, non-decreasing in ``ts`` within a key.
-
-    ``floor(ts / bucket_seconds)`` by default.  With ``bucket_rows``, a time
-    bucket holding more rows than that (a burst) is cut into ``k`` equal
-    sub-intervals, ``k = ceil(rows / bucket_rows)``, so no window partition
-    holds much more than ``bucket_rows`` rows unless they share one timestamp
-    to the sub-interval resolution.  The per-bucket counts are one map-side
-    combined aggregate over (keys, ts); only buckets above ``bucket_rows`` are
-    kept, so that table has at most ``rows / bucket_rows`` entries (500,000 at
-    10^12 messages with the default) - the bound that makes its broadcast
-    safe."""
-    coarse = F.floor(F.col(ts) / F.lit(float(bucket_seconds))).cast("long")
+def _coarse(ts: str, bucket_seconds: float) -> Column:
+    return F.floor(F.col(ts) / F.lit(float(bucket_seconds))).cast("long")
+
+
+def hot_splitters(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], bucket_seconds: float,
+                  bucket_rows: int) -> DataFrame:
+    """Cut points of the time buckets that hold more than ``bucket_rows`` rows.
+
+    One row per such bucket: its keys (``_hk<i>``), ``_hcb`` and ``_cuts``, the
+    ascending order keys at which it is cut.  The cuts are every
+    ``SAMPLES_PER_CUT``-th row of a sample chosen by a hash of the whole order
+    key, so they follow the rows and not the clock: rows that share a second,
+    or one timestamp, are cut too.  The sample depends on the rows alone, hence
+    every evaluation finds the same cuts."""
+    ts = order_cols[0]
+    cb = _coarse(ts, bucket_seconds).alias("_hcb")
+    hk = [f"_hk{i}" for i in range(len(keys))]
+    # half-size pieces: a piece above bucket_rows then needs a sample off by 2x
+    every = max(1, int(bucket_rows) // (2 * SAMPLES_PER_CUT))
+    picked = F.pmod(F.xxhash64(*[F.col(c) for c in order_cols]), F.lit(every)) == 0
+    row = F.struct(*[F.col(c) for c in order_cols])
+    rows = df.select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], cb, row.alias("_row"), picked.alias("_picked"))
+    hot = (rows.groupBy(*hk, "_hcb").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > F.lit(int(bucket_rows))).drop("_n"))
+    same = F.lit(True)
+    r, h = rows.filter("_picked").alias("r"), hot.alias("h")
+    for k in [*hk, "_hcb"]:
+        same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}"))
+    step = max(1, min(SAMPLES_PER_CUT, int(bucket_rows) // (2 * every)))
+    w = Window.partitionBy(*hk, "_hcb").orderBy("_row")
+    cuts = (r.join(h, same, "left_semi").withColumn("_i", F.row_number().over(w))
+             .filter(F.pmod(F.col("_i"), F.lit(step)) == 0))
+    return cuts.groupBy(*hk, "_hcb").agg(F.array_sort(F.collect_list("_row")).alias("_cuts"))
+
+
+def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], bucket_seconds: float,
+                 bucket_rows: int | None) -> DataFrame:
+    """Adds ``_bk``, the window partition within a key: non-decreasing along
+    ``order_cols``.  It is the time bucket and, within a bucket of more than
+    ``bucket_rows`` rows, the number of cuts at or before the row.
+
+    The cuts are broadcast: there is one for about ``bucket_rows / 2`` rows of
+    crowded buckets (at 10^12 messages all in crowded buckets, a million cuts
+    with the default)."""
+    coarse = _coarse(order_cols[0], bucket_seconds)
     if not bucket_rows:
-        return coarse
-    counts = (df.groupBy(*[F.col(k) for k in keys], coarse.alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > F.lit(int(bucket_rows))))
-    hot = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_cb",
-                        F.least(F.ceil(F.col("_n") / F.lit(int(bucket_rows))), F.lit(SUB_MAX)).cast("long").alias("_k"))
-    return _SubBucket(hot, keys, coarse, ts, bucket_seconds)
-
-
-class _SubBucket:
-    """Marker resolved by :func:`_attach_buckets` (needs a join)."""
-
-    def __init__(self, hot, keys, coarse, ts, width):
-        self.hot, self.keys, self.coarse, self.ts, self.width = hot, list(keys), coarse, ts, width
-
-
-def _attach_buckets(df: DataFrame, spec) -> DataFrame:
-    if not isinstance(spec, _SubBucket):
-        return df.withColumn("_bk", spec)
-    x = df.withColumn("_cb", spec.coarse)
-    cond = x["_cb"] == spec.hot["_cb"]
-    for i, k in enumerate(spec.keys):
-        cond = cond & x[k].eqNullSafe(spec.hot[f"_hk{i}"])
-    j = x.join(F.broadcast(spec.hot), cond, "left")
-    frac = (F.col(spec.ts) - x["_cb"] * F.lit(float(spec.width))) / F.lit(float(spec.width))
-    sub = F.least(F.greatest(F.floor(frac * F.col("_k")), F.lit(0)), F.col("_k") - 1)
-    bk = F.struct(x["_cb"].alias("bucket"), F.coalesce(sub, F.lit(0)).cast("long").alias("sub"))
-    return j.select(x["*"], bk.alias("_bk")).drop("_cb")
+        return df.withColumn("_bk", F.struct(coarse.alias("bucket"), F.lit(0).alias("sub")))
+    x = df.withColumn("_cb", coarse)
+    hot = hot_splitters(df, keys, order_cols, bucket_seconds, bucket_rows)
+    cond = x["_cb"] == hot["_hcb"]
+    for i, k in enumerate(keys):
+        cond = cond & x[k].eqNullSafe(hot[f"_hk{i}"])
+    own = F.struct(*[F.col(c) for c in order_cols])
+    sub = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda cut: cut <= own)))
+    bk = F.struct(F.col("_cb").alias("bucket"), sub.cast("int").alias("sub"))
+    return x.join(F.broadcast(hot), cond, "left").select(*[x[c] for c in df.columns], bk.alias("_bk"))
 
 
 def key_text(key: Column) -> Column:
@@ -122,7 +138,7 @@ def sessionize(
     c = F.col
 
     wl = Window.partitionBy(*keys, "_bk").orderBy(*order_cols)
-    x = _attach_buckets(df, bucket_ids(df, keys, ts, bucket_seconds, bucket_rows)).withColumn("_thr", thr)
+    x = with_buckets(df, keys, order_cols, bucket_seconds, bucket_rows).withColumn("_thr", thr)
     # the one shuffle of the rows, with an explicit count: the windows below are
     # CPU work that AQE would otherwise coalesce by bytes into few tasks
     spark = df.sparkSession
