@@ -92,21 +92,10 @@ def unwrap_urls(text) -> Column:
     return F.regexp_replace(_c(text), URL_RE, "$1")
 
 
-def replace_mentions(text, names_map: Column) -> Column:
-    """T1/J2 with a name map: each ``<@ID>`` becomes ``@name`` (``@ID`` when the
-    id is unknown).  Names are inserted literally (no ``$``/``\\`` expansion):
-    the text is split at the mentions and re-joined with the names."""
-    t = _c(text)
-    parts = F.split(t, MENTION_SPLIT_RE, -1)
-    ids = F.regexp_extract_all(t, F.lit(MENTION_RE), 1)
-    names = F.transform(ids, lambda i: F.concat(F.lit("@"), F.coalesce(F.try_element_at(names_map, i), i)))
-    names = F.concat(names, F.array(F.lit("")))
-    return F.array_join(F.zip_with(parts, names, lambda p, n: F.concat(p, n)), "")
-
-
 def rejoin_mentions(text, names: Column) -> Column:
-    """Like :func:`replace_mentions` but with the resolved ``@name`` strings
-    already given in mention order (the join-based strategy)."""
+    """Each ``<@ID>`` becomes its ``@name`` from ``names``, given in
+    mention order.  Names are inserted literally (no ``$``/``\\`` expansion): the
+    text is split at the mentions and re-joined with the names."""
     t = _c(text)
     parts = F.split(t, MENTION_SPLIT_RE, -1)
     names = F.concat(F.coalesce(names, F.array().cast("array<string>")), F.array(F.lit("")))
@@ -115,33 +104,18 @@ def rejoin_mentions(text, names: Column) -> Column:
 
 
 def clean_rest(text) -> Column:
-    """T2 -> T3 -> T4 (the part of ``clean_text`` after mentions).  Both markup
+    """T2 -> T3 -> T4 (what T6 does after T5 and T1).  Both markup
     patterns start with ``<``: a text without one only needs T4."""
     t = _c(text)
     return F.when(F.instr(t, "<") > 0, collapse_ws(unwrap_urls(replace_channel_refs(t)))).otherwise(collapse_ws(t))
 
 
-def clean_text(text, names_map: Column | None = None) -> Column:
-    """T6 = T5 -> T1 -> T2 -> T3 -> T4 in this order."""
-    t = F.coalesce(_c(text), F.lit(""))
-    if names_map is not None:
-        t = replace_mentions(t, names_map)
-    return clean_rest(t)
-
-
 def parse_ts(ts) -> Column:
     """Numeric ts string -> double; NULL when not a finite decimal number."""
     t = strip_ws(_c(ts))
     return F.when(t.rlike(TS_RE), t.try_cast("double"))
 
 
-def epoch_seconds(ts) -> Column:
-    """Seconds since the epoch as double for a TIMESTAMP_NTZ column, independent
-    of the session time zone (wall clock read as UTC)."""
-    return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})".format(
-        ts if isinstance(ts, str) else "ts")) / F.lit(1e6)
-
-
 def epoch_micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
 

@@ -8,6 +8,8 @@
   (keep the last ``L`` tokens), pad on the right with ``pad``; the attention
   mask is 0 wherever the token equals ``pad`` (pad = eos, so a real eos is
   masked too, as in the reference).
+* R5 ``pack_examples``: examples laid end to end in rows of ``max_tokens``
+  tokens, separately in seeded hash buckets of about ``bucket_rows`` examples.
 """
 
 from __future__ import annotations
@@ -38,3 +40,23 @@ def fixed_length(df: DataFrame, tokens: str = "tokens", length: int = 2048, pad:
     padded = F.concat(kept, F.array_repeat(F.lit(pad), F.greatest(F.lit(length) - F.size(kept), F.lit(0))))
     return (df.withColumn(out_ids, padded)
               .withColumn(out_mask, F.transform(F.col(out_ids), lambda v: F.when(v == F.lit(pad), 0).otherwise(1))))
+
+
+def pack_examples(df: DataFrame, id_col: str = "conv_id", length: str = "n_tokens", max_tokens: int = 2048,
+                  seed: int = 42, bucket_rows: int = 100_000) -> DataFrame:
+    """Adds ``bucket``, ``first_row``/``last_row`` (the packed rows of the
+    bucket that hold the example's first and last token) and ``row_offset`` (its
+    first token's place in ``first_row``).  The order in a bucket is that of the
+    split hash; only the last row of a bucket is padded.  An example without
+    tokens lies where the next one starts."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    n_buckets = F.greatest(F.lit(1), F.ceil(n / F.lit(bucket_rows)))
+    key = split_hash_key(id_col, seed)
+    u = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+    x = df.withColumns({"_key": key, "bucket": F.floor(u * n_buckets / F.lit(float(1 << 32))).cast("long")})
+    before = Window.partitionBy("bucket").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_start", F.coalesce(F.sum(length).over(before), F.lit(0)).cast("long"))
+    last = F.col("_start") + F.greatest(F.col(length), F.lit(1)) - 1
+    return x.withColumns({"first_row": F.floor(F.col("_start") / max_tokens).cast("long"),
+                          "last_row": F.floor(last / max_tokens).cast("long"),
+                          "row_offset": (F.col("_start") % max_tokens).cast("long")}).drop("_key", "_start")

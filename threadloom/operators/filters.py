@@ -79,4 +79,13 @@ def by_user(df: DataFrame, user: str) -> DataFrame:
 
 def channel_names(channels: DataFrame) -> DataFrame:
     """channel names in ``channels.json`` order (not from directories)."""
-    return channels.select("ord", "name")
+    return channels.select("ord", "name").orderBy("ord")
+
+
+def union_exports(*exports: DataFrame) -> DataFrame:
+    """O3: the messages of several exports as one table; a column that an
+    export lacks is null there."""
+    out = exports[0]
+    for e in exports[1:]:
+        out = out.unionByName(e, allowMissingColumns=True)
+    return out

@@ -55,7 +55,11 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
     """``line_no, ts, level, message, run, since_prev_s`` for each parsed
     line.  ``run`` counts ``Starting training pipeline:`` lines; the duration
     is the time since the previous line of the same run."""
-    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
+    return parse_log(spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value"))
+
+
+def parse_log(raw: DataFrame) -> DataFrame:
+    """:func:`run_log` over lines ``line_no, value`` from anywhere."""
     ts = F.to_timestamp_ntz(F.concat(F.regexp_extract("value", LOG_LINE_RE, 1), F.lit("."),
                                      F.regexp_extract("value", LOG_LINE_RE, 2)), F.lit("yyyy-MM-dd HH:mm:ss.SSS"))
     x = (raw.filter(F.col("value").rlike(LOG_LINE_RE))

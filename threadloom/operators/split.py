@@ -5,9 +5,10 @@ shuffle is a seeded hash order: ``h = md5(seed ':' id)``.
 
 * ``split_exact`` returns exactly ``ceil(fraction * n)`` test rows without a
   global sort: a histogram over the first 16 bits of ``h`` (at most 65,536
-  rows) locates the bucket holding the k-th smallest hash; only that bucket
-  (about n / 65,536 rows) is ranked to find the threshold hash ``h*``; then
-  ``test = h <= h*``.  Each step is a scalar subquery - no join, no collect.
+  rows) locates the bucket holding the k-th smallest hash, a second one over
+  its next 16 bits the part of that bucket; only that part (about n / 2^32
+  rows) is ranked to find the threshold hash ``h*``; then ``test = h <= h*``.
+  Each step is a scalar subquery over the hash column - no join, no collect.
 * ``split_hash`` is the single-pass form: ``test`` when the first 32 bits of
   ``h`` fall below ``fraction * 2^32`` (share is approximate).
 """
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from threadloom.session import cut_lineage
 
-HIST_BITS_HEX = 4  # 16 bits -> 65,536 buckets
+HIST_BITS_HEX = 4  # 16 bits -> 65,536 buckets a level
 
 
 def split_hash_key(id_col: str, seed: int) -> Column:
@@ -31,28 +32,34 @@ def _n_test(n: Column, fraction: float) -> Column:
     return F.ceil(n.cast("double") * F.lit(float(fraction))).cast("long")
 
 
+def _kth_bucket(h: DataFrame, bucket: str, k: Column) -> Column:
+    """Struct of the bucket ``b`` holding the ``k``-th smallest hash and of that
+    hash's rank ``r`` in it.  The unpartitioned window has one row per bucket."""
+    hist = h.groupBy(bucket).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_c").over(w)).filter((k > 0) & (F.col("_cum") >= k))
+    rank = (k - F.col("_cum") + F.col("_c")).alias("r")
+    return hist.agg(F.min_by(F.struct(F.col(bucket).alias("b"), rank), bucket)).scalar()
+
+
 def split_exact(df: DataFrame, id_col: str = "conv_id", seed: int = 42, fraction: float = 0.1,
-                out: str = "split", materialize: bool = True) -> DataFrame:
+                out: str = "split", materialize: bool = True, table: str | None = None) -> DataFrame:
     """Exact split.  The threshold needs the whole input before any row can be
-    labelled, so with ``materialize`` the input is first written to the
-    session's checkpoint folder and both passes read it (instead of
-    recomputing the upstream plan once per pass)."""
-    x = df.withColumns({"_h": split_hash_key(id_col, seed)})
-    x = x.withColumn("_hb", F.conv(F.substring("_h", 1, HIST_BITS_HEX), 16, 10).cast("int"))
+    labelled, so with ``materialize`` the input is first written as a table
+    (``table``, or one in the session's checkpoint folder).  The threshold
+    passes read its hash column only; the rows are read once, when labelled."""
+    x = df.withColumn("_h", split_hash_key(id_col, seed))
     if materialize:
-        x = cut_lineage(x)
-    hist = x.groupBy("_hb").agg(F.count(F.lit(1)).alias("_c"))
-    # <= 65,536 rows: an unpartitioned window over the histogram is fine
-    w = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_k", _n_test(F.sum("_c").over(Window.partitionBy()), fraction))
-    target = (hist.filter((F.col("_k") > 0) & (F.col("_cum") >= F.col("_k")))
-                  .agg(F.min_by(F.struct("_hb", (F.col("_k") - F.col("_cum") + F.col("_c")).alias("_r")), "_hb").alias("t")))
-    t = target.scalar()
-    cand = x.filter(F.col("_hb") == t["_hb"]).select("_h")
-    hstar = (cand.withColumn("_rn", F.row_number().over(Window.orderBy("_h")))
-                 .filter(F.col("_rn") == t["_r"]).agg(F.max("_h"))).scalar()
+        x = cut_lineage(x, table)
+    h = x.select("_h", *[F.substring("_h", i * HIST_BITS_HEX + 1, HIST_BITS_HEX).alias(f"_b{i}") for i in (0, 1)])
+    k = _n_test(h.agg(F.count(F.lit(1))).scalar(), fraction)
+    for level in ("_b0", "_b1"):
+        hit = _kth_bucket(h, level, k)
+        h, k = h.filter(F.col(level) == hit["b"]), hit["r"]
+    hstar = (h.withColumn("_rn", F.row_number().over(Window.orderBy("_h")))
+              .filter(F.col("_rn") == k).agg(F.max("_h"))).scalar()
     test = F.coalesce(F.col("_h") <= hstar, F.lit(False))
-    return x.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_hb")\
+    return x.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))) \
             .withColumnRenamed("_h", "split_hash")
 
 

@@ -131,12 +131,15 @@ def q_channel_names(spark: SparkSession, sf: str) -> DataFrame:
     return filters.channel_names(ch.withColumnRenamed("event_type", "name"))
 
 
-@register("union_exports", f"WITH {MSG_VIEW}, {VALID_SQL} SELECT channel, count(*) AS n_messages FROM v GROUP BY channel")
+@register("union_exports", f"""WITH {MSG_VIEW}, {VALID_SQL},
+a AS (SELECT channel, text, event_id FROM v UNION ALL SELECT role, text, NULL FROM conversations)
+SELECT channel, count(*) AS n_messages, count(event_id) AS n_events, CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM a GROUP BY channel""")
 def q_union_exports(spark: SparkSession, sf: str) -> DataFrame:
-    v = _valid(spark, sf)
-    a = v.filter(F.col("channel").isin("view", "click"))
-    b = v.filter(~F.col("channel").isin("view", "click"))
-    return a.unionByName(b).groupBy("channel").agg(F.count(F.lit(1)).alias("n_messages"))
+    turns = tables.read_table(spark, sf, "conversations").select(F.col("role").alias("channel"), "text")
+    return filters.union_exports(_valid(spark, sf).select("channel", "text", "event_id"), turns).groupBy("channel").agg(
+        F.count(F.lit(1)).alias("n_messages"), F.count("event_id").alias("n_events"),
+        F.sum(F.length("text")).alias("n_chars"))
 
 
 # ---------------------------------------------------------------------------
@@ -312,13 +315,13 @@ _RENDER_SQL = ("r AS (SELECT conv_id, count(*) AS length, '" + BOS + "' || strin
 
 @register("with_system_prompt", """
 WITH u AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS idx
-           FROM conversations WHERE role <> 'system')
+           FROM conversations WHERE text <> '')
 SELECT conv_id, CAST(0 AS BIGINT) AS idx, 'system' AS role, """ + _lit(TRAINING_PROMPT) + """ AS content
 FROM conversations GROUP BY conv_id
 UNION ALL
 SELECT conv_id, idx, CASE WHEN idx % 2 = 1 THEN 'user' ELSE 'assistant' END AS role, text AS content FROM u""")
 def q_with_system_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    c = tables.read_table(spark, sf, "conversations").filter(F.col("role") != "system")
+    c = tables.read_table(spark, sf, "conversations")
     c = c.select("conv_id", F.col("turn").alias("conv_pos"), F.col("text").alias("content"))
     conv = conversations.collect_conversations(c, system_prompt=TRAINING_PROMPT)
     return conv.select("conv_id", F.posexplode("messages").alias("idx", "m")).select(

@@ -59,8 +59,9 @@ def scope_keys(scope: str) -> tuple[str, ...]:
 
 
 def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
-                           observe: dict | None = None) -> DataFrame:
-    """Bronze messages -> split examples (lazy)."""
+                           observe: dict | None = None, table: str | None = None) -> DataFrame:
+    """Bronze messages -> split examples.  The exact split writes the examples
+    once (to ``table``, see :func:`split.split_exact`); the rest is lazy."""
     obs = observe if observe is not None else {}
     valid = filters.valid_messages(messages)
     if "found" in obs:
@@ -83,7 +84,7 @@ def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
                             F.count_if("skipped").alias("examples_skipped"))
     ex = allx.filter(~F.col("skipped")).drop("skipped")
     if opt.split_mode == "exact":
-        return split.split_exact(ex, "conv_id", seed=opt.seed, fraction=opt.test_fraction)
+        return split.split_exact(ex, "conv_id", seed=opt.seed, fraction=opt.test_fraction, table=table)
     out = split.split_hash(ex, "conv_id", seed=opt.seed, fraction=opt.test_fraction)
     return out.withColumn("split_hash", split.split_hash_key("conv_id", opt.seed))
 
@@ -127,7 +128,7 @@ def _build(spark: SparkSession, export_dir: str, out_dir: str, opt: Options) ->
         raise ValueError(f"no messages found in {export_dir}")
 
     obs = {"found": Observation("found"), "grouped": Observation("grouped"), "formatted": Observation("formatted")}
-    ex = examples_from_messages(messages, exp.users, opt, observe=obs)
+    ex = examples_from_messages(messages, exp.users, opt, observe=obs, table=f"{out_dir}/examples")
     data = f"{out_dir}/dataset"
     ex.select("conv_id", "text", "messages", "length", "n_tokens", "split", "split_hash") \
       .write.mode("overwrite").partitionBy("split").parquet(f"{data}/parquet")

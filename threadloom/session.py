@@ -5,6 +5,7 @@ one when the session has none, as in tests)."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, table: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet and read back, so that later passes read
+    only the columns they need and a lost executor never goes back further.
+    ``table`` is a folder on shared storage that the caller removes; the
+    default is a new one below the checkpoint folder, which the result reads."""
+    spark = df.sparkSession
+    path = table or f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

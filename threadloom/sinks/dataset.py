@@ -45,14 +45,6 @@ def stage_counters(messages: DataFrame, flagged: DataFrame, examples: DataFrame)
     return rows(found).unionByName(rows(conv)).unionByName(rows(spl))
 
 
-def write_dataset(examples: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: parquet partitioned by split (``text``, ``messages``, ``length``,
-    ``n_tokens``, ``conv_id``) plus JSON lines of ``{"messages": [...]}``."""
-    cols = ["conv_id", "text", "messages", "length", "n_tokens", "split"]
-    examples.select(*cols).write.mode(mode).partitionBy("split").parquet(f"{path}/parquet")
-    examples.select("split", "messages").write.mode(mode).partitionBy("split").json(f"{path}/jsonl")
-
-
 def sample_log_text(examples: DataFrame, n: int = SAMPLE_SIZE, order: str = "split_hash") -> DataFrame:
     """K2 body as one row: header, then ``Example i:``/text/rule for the first
     ``n`` train rows in dataset order."""
