@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from threadloom.functions.tokens import tokenizer_counter, tokenizer_ids
-from threadloom.operators.inventory import artifact_inventory, read_json_doc, run_log, stage_durations
+from threadloom.operators.inventory import artifact_inventory, model_info, read_json_doc, run_log, stage_durations
 
 
 def test_artifact_inventory(spark, tmp_path):
@@ -24,6 +24,18 @@ def test_artifact_inventory(spark, tmp_path):
     assert card.dataset_info.train_samples == 9
 
 
+def test_model_info(spark, tmp_path):
+    d = tmp_path / "model"
+    (d / "_state" / ".deep").mkdir(parents=True)
+    (d / "_state" / ".deep" / ".x").write_bytes(b"x" * 70)
+    (d / ".hidden").write_bytes(b"x" * 30)
+    r = model_info(spark, str(d)).first()
+    assert (round(r.size_gb * 1024 ** 3), r.n_files, r.num_shards, r.model_card, r.training_config) == (100, 2, 0, None, None)
+    (d / "model_card.json").write_text('{"base_model":\n "m"}')
+    r = model_info(spark, str(d)).first()
+    assert json.loads(r.model_card) == {"base_model": "m"} and r.training_config is None and r.n_files == 3
+
+
 LOG = """2031-05-06 07:08:09,100 - INFO - Starting training pipeline:
 2031-05-06 07:08:09,350 - INFO - first step
 -- no time here --

@@ -1,7 +1,7 @@
 """R7 (artifact inventory of an output folder) and R8 (run-log table).
 
-R7 reads only file metadata (``binaryFile`` with the content column pruned),
-so the size of a multi-GB model folder is summed without reading it.  R8
+R7 reads only file metadata, so the size of a multi-GB model folder is summed
+without reading it.  R8
 parses ``time - LEVEL - message`` lines and measures stage durations with
 ``lag`` inside each run.
 """
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import epoch_micros
 from threadloom.operators.scan import prefix_scan
-from threadloom.sources.paths import relative_path
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -26,24 +25,37 @@ GIB = 1024 ** 3
 # ---------------------------------------------------------------------------
 
 
-def artifact_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under ``path`` with ``rel_path``, ``name``, ``depth``, ``length``."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-          .select("path", "length"))
-    rel = relative_path("path", path)
-    parts = F.split(rel, "/")
-    return df.select(rel.alias("rel_path"), F.element_at(parts, -1).alias("name"),
-                     (F.size(parts) - 1).alias("depth"), "length")
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def artifact_inventory(spark: SparkSession, path: str, shard_pattern: str = SHARD_PATTERN) -> DataFrame:
-    """One row: ``size_gb`` (all files, recursive), ``n_files``, ``num_shards``
-    (top-level files matching ``shard_pattern``)."""
-    f = artifact_files(spark, path)
-    return f.agg(
-        (F.sum("length") / F.lit(float(GIB))).alias("size_gb"),
-        F.count(F.lit(1)).cast("long").alias("n_files"),
-        F.count_if((F.col("depth") == 0) & F.col("name").rlike(shard_pattern)).cast("long").alias("num_shards"))
+    """One row: ``size_gb`` and ``n_files`` (all files, recursive, names starting
+    with ``_`` or ``.`` too), ``num_shards`` (top-level files matching
+    ``shard_pattern``).  From file metadata alone; the names of the top level
+    are all that is listed by name."""
+    p, fs = _folder(spark, path)
+    whole = fs.getContentSummary(p)
+    names = [(f.getPath().getName(),) for f in fs.listStatus(p) if f.isFile()]
+    shards = spark.createDataFrame(names, "name string").agg(
+        F.count_if(F.col("name").rlike(shard_pattern)).alias("num_shards"))
+    return shards.select(F.lit(whole.getLength() / GIB).alias("size_gb"),
+                         F.lit(whole.getFileCount()).cast("long").alias("n_files"), F.col("num_shards").cast("long"))
+
+
+def model_info(spark: SparkSession, path: str, shard_pattern: str = SHARD_PATTERN) -> DataFrame:
+    """R7 whole: the inventory with ``model_card`` and ``training_config`` as the
+    text of ``model_card.json`` and ``training_config.json``, null where the
+    folder has no such file."""
+    info = artifact_inventory(spark, path, shard_pattern)
+    for name in ("model_card", "training_config"):
+        doc, fs = _folder(spark, f"{path}/{name}.json")
+        text = F.lit(None).cast("string")
+        if fs.exists(doc):
+            text = spark.read.text(f"{path}/{name}.json", wholetext=True).scalar()
+        info = info.withColumn(name, text)
+    return info
 
 
 def read_json_doc(spark: SparkSession, path: str) -> DataFrame:
