@@ -128,6 +128,14 @@ def test_break_flags(spark):
     assert [out[i].is_break for i in range(1, 6)] == [True, False, True, True, True]
 
 
+def test_conversation_ids_with_null_and_marked_keys(spark):
+    pairs = [(None, "a"), ("a", None), ("a:1", "b"), ("a", "1:b"), ("\\N", "a"), ("", "a"), (None, None), ("a\\", ":b")]
+    df = spark.createDataFrame([(*p, 1.0) for p in pairs], "k string, l string, ts double")
+    for keys, n in ((["k", "l"], len(pairs)), (["k"], len({k for k, _ in pairs}))):
+        out = sessionize(df, keys=keys, order=["l"], ts="ts", thread=None, max_messages=9, min_messages=1)
+        assert out.select("conv_id").distinct().count() == n
+
+
 def test_cap_81_messages(spark):
     rows = [(i, float(i), None) for i in range(81)]
     df = spark.createDataFrame(rows, "id long, ts double, thr string")

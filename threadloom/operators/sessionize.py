@@ -100,10 +100,12 @@ def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return x.join(F.broadcast(hot), cond, "left").select(*[x[c] for c in df.columns], bk.alias("_bk"))
 
 
-def key_text(key: Column) -> Column:
-    """A key as part of a conversation id: ":" and "\\" escaped, null as "\\N"."""
-    text = key.cast("string")
-    return F.coalesce(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")), F.lit("\\N"))
+def key_texts(keys: Sequence[Column]) -> list[Column]:
+    """Keys as parts of a conversation id: ":" and "\\" escaped.  Of several keys
+    a null one is "\\N"; a single null key is null, which leaves the id a part
+    short and so as unlike any other."""
+    texts = [F.replace(F.replace(k.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for k in keys]
+    return texts if len(texts) == 1 else [F.coalesce(t, F.lit("\\N")) for t in texts]
 
 
 def sessionize(
@@ -202,7 +204,7 @@ def sessionize(
         chunk.cast("long").alias("chunk"),
         (rn - run_start - chunk * cap + 1).cast("long").alias("conv_pos"),
         F.least(F.lit(cap).cast("long"), run_end - run_start + 1 - chunk * cap).cast("long").alias("conv_size"),
-        F.concat_ws(":", *[key_text(x[k]) for k in keys], run_start.cast("long").cast("string"),
+        F.concat_ws(":", *key_texts([x[k] for k in keys]), run_start.cast("long").cast("string"),
                     chunk.cast("long").cast("string")).alias("conv_id"),
         *[v.alias(k) for k, v in extra.items()])
     out = out.filter(c("conv_size") >= F.lit(int(min_messages)))
