@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, exact_dedup, html_text, licenses, near_dup, packing, quality, token_cache, topk, url_rules
+from threadloom.llm import bpe, exact_dedup, html_text, licenses, merkle, near_dup, packing, quality, token_cache, topk, url_rules
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -111,3 +111,47 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = Scratch(spark, "token-counts").path("cache")
     counted = token_cache.count_tokens(table(spark, sf_dir, "documents"), cache, tokenizer("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@register("op12_merkle", """
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER () AS rid,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen("text") || ':' || "text", '-') AS tail, CAST(doc_id AS VARCHAR) AS s FROM documents),
+e AS (
+  SELECT rid, doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(strlen(CAST(CAST(n_chars AS HUGEINT) + 1 AS VARCHAR)) || ':' || (CAST(n_chars AS HUGEINT) + 1), '-')
+                || tail) AS changed,
+         xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten([[(ord(s[k]) >> b) & 1 for b in range(8)]
+             for k in range(1, length(s) + 1)])), lambda c, bit: xor(c >> 1, (xor(c, bit) & 1) * 3988292384))) % 7 = 0 AS hit
+  FROM d),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM e),
+lev(tree, h, j, n, node) AS (
+  SELECT tree, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, h + 1, j // 2, (max(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY j)) FROM lev WHERE n > 1 GROUP BY tree, h, j // 2),
+subroots AS (SELECT tree, node AS subroot, count(*) OVER () AS langs FROM lev WHERE n = 1),
+up(h, j, n, node) AS (
+  SELECT 0, tree, langs, subroot FROM subroots
+  UNION ALL
+  SELECT h + 1, j // 2, (max(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY j)) FROM up WHERE n > 1 GROUP BY h, j // 2),
+way(rid, tree, h, j, n, proof, folded) AS (
+  SELECT rid, tree, 0, i, n, '', CASE WHEN hit THEN changed ELSE leaf END FROM leaves
+  UNION ALL
+  SELECT rid, w.tree, w.h + 1, w.j // 2, (w.n + 1) // 2, proof || coalesce(s.node, ''),
+         sha256(CASE WHEN s.node IS NULL THEN folded WHEN w.j % 2 = 0 THEN folded || s.node ELSE s.node || folded END)
+  FROM way w LEFT JOIN lev s ON s.tree = w.tree AND s.h = w.h AND s.j = xor(w.j, 1) WHERE w.n > 1),
+higher(rid, h, j, n, proof, folded) AS (
+  SELECT rid, 0, tree, (SELECT count(*) FROM subroots), proof, folded FROM way WHERE n = 1
+  UNION ALL
+  SELECT rid, w.h + 1, w.j // 2, (w.n + 1) // 2, proof || coalesce(s.node, ''),
+         sha256(CASE WHEN s.node IS NULL THEN folded WHEN w.j % 2 = 0 THEN folded || s.node ELSE s.node || folded END)
+  FROM higher w LEFT JOIN up s ON s.h = w.h AND s.j = xor(w.j, 1) WHERE w.n > 1)
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+FROM higher JOIN leaves USING (rid) JOIN subroots USING (tree) CROSS JOIN (SELECT node FROM up WHERE n = 1) WHERE higher.n = 1""")
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)[0]
