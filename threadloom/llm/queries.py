@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, exact_dedup, html_text, licenses, merkle, near_dup, packing, quality, token_cache, topk, url_rules
+from threadloom.llm import alignment, bpe, exact_dedup, html_text, licenses, merkle, near_dup, packing, quality, token_cache, topk, url_rules
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -113,6 +113,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@register("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = alignment.PieceModel.read(public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), pieces)
+
+
 @register("op12_merkle", """
 WITH RECURSIVE d AS (
   SELECT *, row_number() OVER () AS rid,
