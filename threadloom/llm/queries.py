@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import alignment, bpe, exact_dedup, html_text, licenses, merkle, near_dup, packing, quality, token_cache, topk, url_rules
+from threadloom.llm import (alignment, bpe, exact_dedup, html_text, licenses, merkle, near_dup, packing, parity_join, quality,
+                            token_cache, topk, url_rules)
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
 
@@ -161,3 +162,8 @@ FROM higher JOIN leaves USING (rid) JOIN subroots USING (tree) CROSS JOIN (SELEC
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered)[0]
+
+
+@register("op13_jaccard_join")
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_components(table(spark, sf_dir, "documents"))
