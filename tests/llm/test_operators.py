@@ -92,8 +92,7 @@ def brute_near(texts, percent=75):
     group = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            same_id = texts[i][0] is not None and texts[i][0] == texts[j][0] and sets[i] and sets[j]
-            if same_id or (sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 a, b = group[i], group[j]
                 group = [min(a, b) if g in (a, b) else g for g in group]
     out = []
@@ -107,6 +106,12 @@ def brute_near(texts, percent=75):
 def test_near_duplicates(spark, docs, none):
     assert rows(near_dup.near_duplicates(docs)) == brute_near(TEXTS)
     assert near_dup.near_duplicates(none).count() == 0
+    other = "quite another text of more than five words"
+    twice = [(1, TEXTS[3][1]), (5, TEXTS[3][1]), (5, other), (7, other + " here"), (7, "x y z"), (5, "x y z")]  # ids with several texts
+    df = spark.createDataFrame(twice, "doc_id long, text string")
+    assert rows(near_dup.near_duplicates(df)) == brute_near(twice)
+    marked = near_dup.near_duplicates(df, mark=F.col("text").cast("binary")).collect()
+    assert {(r.doc_id, r.mark.decode()) for r in marked} == set(twice) and len({r.class_id for r in marked}) == 3
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(4000)]
     base = [rng.choice(vocabulary) for _ in range(60)]

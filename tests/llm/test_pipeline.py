@@ -1,5 +1,7 @@
 """run() against a brute-force version of its stages, and the registered queries against their SQL."""
 
+import hashlib
+
 import pytest
 
 from tests.oracle import compare
@@ -42,7 +44,30 @@ def test_copies_stage_keeps_one_row(spark, tmp_path):
     assert corpus_pipeline.drop_copies(spark, twice, "").count() == 1
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup", "op6_top_k", "op9_url_rules"])
+def test_near_copies_stage_tells_rows_apart(spark):
+    import corpus_pipeline
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    b = "quite another text that has nothing to do with the first one"
+    rows = [(1, a, "x"), (5, a + " more", "x"), (5, b, "x"), (7, "third text, unrelated to both of them", "x"),
+            (7, b.upper(), "y"), (5, "", "x"), (8, None, "x"), (None, a, "x"), (None, "without id or twin, all alone here", "x"),
+            (9, "w " * 100_000, "x"), (9, "w " * 100_000, "x"), (10, b, "x"), (5, b.title(), "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = sorted(((r.doc_id, r.text or "") for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()), key=repr)
+    kept_b = min([b, b.title()], key=lambda t: hashlib.sha256(t.encode()).digest())
+    want = [(1, a), (5, kept_b), (7, rows[3][1]), (5, ""), (8, ""), (None, rows[8][1]), (9, rows[9][1])]
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_on_an_empty_table(spark, tmp_path, stage):
+    import corpus_pipeline
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    out = corpus_pipeline.STAGES[stage][1](spark, empty, str(tmp_path))
+    assert out.count() == 0 and (stage == 3 or out.columns == empty.columns)
+
+
+@pytest.mark.parametrize("name", ["op3_exact_dedup", "op6_top_k", "op9_url_rules", "op12_merkle"])
 def test_query_equals_sql(spark, name):
     result = compare(spark, name, "/root/testdata/sf0.001")
     assert result["cols_match"] and result["values_match"], result

@@ -16,7 +16,7 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import textbuf
@@ -114,9 +114,9 @@ def _sign(how: Settings):
                     digest.append(_digest(s.tobytes()) if len(s) else None)
                     sign.append(signature(s, how.places).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(rows.schema.get_field_index("doc_id")), pa.array(size, pa.int64()),
+                    [*(rows.column(rows.schema.get_field_index(c)) for c in ("doc_id", "mark")), pa.array(size, pa.int64()),
                      pa.array(digest, pa.binary()), pa.array(sign, pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "sign"])
+                    ["doc_id", "mark", "n_shingles", "digest", "sign"])
     return run
 
 
@@ -249,42 +249,49 @@ def _with_both(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "doc_id", text: str = "text",
-                    scratch: Scratch | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+                    scratch: Scratch | None = None, mark: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (with
+    ``mark``, a binary column over ``docs``, also ``mark`` and ``class_id``, equal for the
+    rows of one component and null for rows without shingles or, among their equals, without any id).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  Documents are linked
     when 100 |x & y| >= percent |x | y| of their shingle sets; component_id is
     the smallest doc_id reachable.  A text that is null, empty or without words
     has no shingles and is linked with nothing: its component is itself.  A row
     with a null doc_id takes the component of its shingle set's other rows (null if there
-    is none) and is not kept.  Repeated rows each keep their row, and rows of
-    one doc_id with different texts are one document to reach others by; an empty table gives no rows; other columns of ``docs`` do not take part.
+    is none) and is not kept.  Repeated rows each keep their row; rows of one doc_id
+    with different texts are linked only if their sets are, so one may be kept and the
+    other not; an empty table gives no rows; other columns of ``docs`` do not take part.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "near-dup")
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                        (F.lit(None).cast("binary") if mark is None else mark).alias("mark"))
     signed = scratch.keep(
-        texts.mapInArrow(_sign(how), "doc_id long, n_shingles long, digest binary, sign binary"), "signed")
-    # equal shingle sets fold: one representative each (of one digest all signatures are the same)
+        texts.mapInArrow(_sign(how), "doc_id long, mark binary, n_shingles long, digest binary, sign binary"), "signed")
+    # equal shingle sets fold: one representative each, with a number of its own, since a doc_id may have
+    # several texts (of one digest all signatures are the same)
     reps = scratch.keep(
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("sign").alias("sign")), "reps")
-    rows = scratch.keep(signed.select("doc_id", "n_shingles", "digest"), "rows")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("sign").alias("sign"))
+        .withColumn("rep", F.monotonically_increasing_id()), "reps")
+    rows = scratch.keep(signed.select("doc_id", "mark", "n_shingles", "digest"), "rows")
     scratch.drop("signed")
 
     keys = reps.select("rep", "sign").mapInArrow(_band_keys(how), "rep long, key long")
     # a bucket's pivot is its least member in an order that differs from bucket to bucket
-    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"),
+    # (written before a join, so that the join is dealt out on its own and can split a hot bucket)
+    shared = scratch.keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"),
                                       F.min(F.col("rep").bitwiseXOR(F.col("key"))).alias("least"))
               .where("members > 1")
-              .select("key", "members", F.col("least").bitwiseXOR(F.col("key")).alias("pivot")))
+              .select("key", "members", F.col("least").bitwiseXOR(F.col("key")).alias("pivot")), "shared")
     buckets = scratch.keep(keys.join(shared, "key").select("key", "rep", "members", "pivot"), "buckets")
     in_buckets = buckets.select("rep").distinct()
     sets = scratch.keep(
-        texts.join(reps.join(in_buckets, "rep").select(F.col("rep").alias("doc_id"), "rep", "digest"), "doc_id")
+        texts.join(reps.join(in_buckets, "rep").select("doc_id", "rep", "digest"), "doc_id")
         .select("rep", "digest", "text").mapInArrow(_sets(how), "rep long, shingles binary, sketch binary"), "sets")
     if not sets.groupBy("rep").count().where("count > 1").isEmpty():
-        sets = sets.distinct()  # repeated rows
+        sets = scratch.keep(sets.dropDuplicates(["rep"]), "sets-once")  # repeated rows
 
     # every member meets its bucket's pivot
     met = buckets.where("rep <> pivot").select(
@@ -299,7 +306,7 @@ def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "
               .select("key", "rep", "members", F.coalesce("c", "rep").alias("comp"),
                       F.coalesce("main", "pivot").alias("main")))
     placed = scratch.keep(placed.withColumn("astray", F.col("comp") != F.col("main")), "placed")
-    mixed = placed.groupBy("key").agg(F.count_if("astray").alias("strays")).where("strays > 0")
+    mixed = scratch.keep(placed.groupBy("key").agg(F.count_if("astray").alias("strays")).where("strays > 0"), "mixed")
     open_ = placed.join(mixed, "key").join(sets.select("rep", "sketch"), "rep")
     tiles = lambda n: F.ceil(n / F.lit(how.tile)).cast("int")
     mine = lambda n: F.pmod(F.xxhash64("rep"), tiles(n)).cast("int")
@@ -315,9 +322,13 @@ def near_duplicates(docs: DataFrame, how: Settings = Settings(), doc_id: str = "
     late = scratch.keep(_with_both(more, sets, "shingles").mapInArrow(_confirm(how), "a long, b long"), "late")
     final = components(links.union(late), scratch, "final")
 
-    group = (reps.select("digest", "rep").join(final.select(F.col("u").alias("rep"), "v"), "rep", "left")
-             .select("digest", F.coalesce("v", "rep").alias("component")))
+    classes = scratch.keep(
+        reps.select("digest", "doc_id", "rep").join(final.select(F.col("u").alias("rep"), "v"), "rep", "left")
+        .select("digest", "doc_id", F.coalesce("v", "rep").alias("class_id")), "classes")
+    least = scratch.keep(classes.groupBy("class_id").agg(F.min("doc_id").alias("component")), "least")
+    group = scratch.keep(classes.select("digest", "class_id").join(least, "class_id"), "group")
     own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return (rows.join(group, "digest", "left")
             .select("doc_id", "n_shingles", own.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept")))
+                    F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"),
+                    *([] if mark is None else ["mark", "class_id"])))
