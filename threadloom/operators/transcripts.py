@@ -11,20 +11,27 @@
   is linear in the input: the number of context messages and the rendered
   context length (prefix sums), not a copy of the history per turn.
 
+* R3 ``context_window``: the same cut to a token budget, as one row a user turn
+  with the first message that still fits.
+
 Running counts use the bucketed prefix scan, so a long session is spread over
 many tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.template import BOS, CONTROL_COMMANDS, render_message, truncate_at_stop
 from threadloom.functions.text import strip_ws
+from threadloom.functions.tokens import TokenCounter, octet_proxy
 from threadloom.operators.scan import prefix_scan
 
 TURN_BUCKET = 4096
+TOKEN_BUCKET = 1 << 18
 
 
 def truncate_replies(df: DataFrame, text: str = "text", out: str = "reply") -> DataFrame:
@@ -81,6 +88,52 @@ def context_messages(df: DataFrame, last_k: int, system_prompt: str = "", sessio
     return x.withColumn("context", F.concat(F.array(system), F.col("context")))
 
 
+def context_window(df: DataFrame, budget: int | Sequence[int], counter: TokenCounter = octet_proxy, system_prompt: str = "",
+                   session: str = "session_id", turn: str = "turn", role: str = "role", text: str = "text",
+                   newline: str = "literal") -> DataFrame:
+    """R3 within a token budget, on the output of :func:`reset_segments`: for
+    every user turn (and every budget, if several are given) the longest run of
+    whole messages that ends with it and fits beside the system message.
+
+    One row a turn and budget: session, ``segment``, turn, ``budget``, ``first_turn``
+    (of that run), ``n_context`` (its messages and the system's), ``context_tokens``
+    (of the context as cut) and ``cut_tokens``: 0, or by how much the turn alone is
+    over the budget (``first_turn`` is then the turn itself, of which so much is to be
+    cut; all of it beside a system message over the budget).  A message's tokens are
+    those of its rendered form.
+
+    With P(f) the tokens before message f and S(t) those up to t, f is the first
+    with P(f) >= S(t) + system - budget.  P grows with f, so the search is one
+    running minimum over messages and turns laid out by P and that bound
+    together, cut into buckets of tokens: output and shuffles are linear, and a
+    long session is spread over its buckets."""
+    budgets = [int(budget)] if isinstance(budget, int) else sorted({int(b) for b in budget})
+    c = F.col
+    part = render_message(c(role), strip_ws(c(text)), newline)
+    system = counter(F.lit(BOS + render_message_text("system", system_prompt, newline))).cast("long")
+    key = [session, "segment"]
+    x = df.select(*key, turn, (c(role) == F.lit("user")).alias("_user"),
+                  F.coalesce(counter(part), F.lit(0)).cast("long").alias("_n"), F.lit(1).alias("_one"))
+    x = prefix_scan(x, key, [turn], F.floor(c(turn) / TURN_BUCKET), {"_sum": ("sum", "_n"), "_no": ("sum", "_one")})
+    before = c("_sum") - c("_n")
+    # descending by the value: a message at P, and behind it, at the same value, the turns that ask for it
+    messages = x.select(*key, (-before).alias("_v"), F.lit(0).alias("_asks"),
+                        F.struct(c("_no").alias("no"), c(turn).alias("turn"), before.alias("before")).alias("_m"),
+                        *[F.lit(None).cast(kind).alias(name) for name, kind in x.dtypes if name not in key],
+                        F.lit(None).cast("long").alias("budget"))
+    asks = (x.filter("_user").withColumn("budget", F.explode(F.array(*[F.lit(b).cast("long") for b in budgets])))
+            .withColumns({"_v": c("budget") - c("_sum") - system, "_asks": F.lit(1),
+                          "_m": F.lit(None).cast(messages.schema["_m"].dataType)}))
+    laid = messages.unionByName(asks)
+    found = prefix_scan(laid, key, ["_v", "_asks"], F.floor(c("_v") / TOKEN_BUCKET), {"_first": ("min", "_m")}).filter("_asks = 1")
+    alone = c("_first").isNull() | (c("_first")["no"] > c("_no"))  # not even the turn itself fits
+    cut = F.when(alone, F.least(c("_n"), c("_n") + system - c("budget"))).otherwise(F.lit(0))
+    tokens = F.when(alone, c("_n")).otherwise(c("_sum") - c("_first")["before"])
+    return found.select(*key, turn, "budget", F.when(alone, c(turn)).otherwise(c("_first")["turn"]).alias("first_turn"),
+                        F.when(alone, F.lit(2)).otherwise(c("_no") - c("_first")["no"] + 2).cast("long").alias("n_context"),
+                        (tokens + system - cut).cast("long").alias("context_tokens"), cut.cast("long").alias("cut_tokens"))
+
+
 def render_message_text(role: str, content: str, newline: str = "literal") -> str:
     from threadloom.functions.template import role_parts
     pre, suf = role_parts(newline).get(role, ("", ""))

@@ -112,6 +112,7 @@ def q_sessionize_global(spark: SparkSession, sf: str) -> DataFrame:
 from threadloom.plans.catalogue_more import *  # noqa: E402,F401,F403  (registers the rest)
 from threadloom.plans.catalogue_export import *  # noqa: E402,F401,F403
 from threadloom.plans.catalogue_dataset import *  # noqa: E402,F401,F403
+from threadloom.plans.catalogue_order import *  # noqa: E402,F401,F403
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
