@@ -52,14 +52,14 @@ ROW_TOKENS = 512
 @register("pack_whole", f"""WITH RECURSIVE {_RENDER_SQL},
 e AS (SELECT conv_id, CAST(ceil(strlen(text) / 4) AS BIGINT) AS n, md5('42:' || CAST(conv_id AS VARCHAR)) AS h FROM r),
 o AS (SELECT *, row_number() OVER (ORDER BY n DESC, h) AS k FROM e WHERE n BETWEEN 1 AND {ROW_TOKENS}),
-st(k, free, at, off) AS (
+st(k, free, place, lead) AS (
   SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
   UNION ALL
   SELECT k, CASE WHEN p IS NULL THEN list_append(free, {ROW_TOKENS} - n)
                  ELSE list_concat(free[:p - 1], [free[p] - n], free[p + 1:]) END,
          coalesce(p, len(free) + 1) - 1, CASE WHEN p IS NULL THEN 0 ELSE {ROW_TOKENS} - free[p] END
-  FROM (SELECT o.k, free, o.n, list_position(list_transform(free, lambda f: f >= o.n), true) AS p FROM st JOIN o ON o.k = st.k + 1))
-SELECT conv_id, n AS n_tokens, at AS packed_row, off AS row_offset FROM o JOIN st USING (k)
+  FROM (SELECT o.k, free, o.n, nullif(list_position(list_transform(free, lambda f: f >= o.n), true), 0) AS p FROM st JOIN o ON o.k = st.k + 1))
+SELECT conv_id, n AS n_tokens, place AS packed_row, lead AS row_offset FROM o JOIN st USING (k)
 UNION ALL SELECT conv_id, n, NULL, NULL FROM e WHERE n > {ROW_TOKENS}""")
 def q_pack_whole(spark: SparkSession, sf: str) -> DataFrame:
     ex = examples.with_token_count(examples.render(_table_convs(spark, sf)), octet_proxy)
