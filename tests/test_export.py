@@ -95,12 +95,15 @@ def test_winner_names_and_strict_json(spark, tmp_path):
     _write(tmp_path / "data", "general/2024-01-05.json", "[{'text': 'single'}]")
     _write(tmp_path / "data", "general/2024-01-06.json", GOOD % "one" + GOOD % "two")
     _write(tmp_path / "data", "general/2024-01-07.json", '[{"text": "first", "text": "last"}]')
+    _write(tmp_path / "data", "general/2024-01-09.json", '[\n  {\n "text":\n "lines"\n}\n]\n')
+    _write(tmp_path / "data", "users.json", '[\n{"id": "U1"},\n{"id": "U2"}\n]\n')
     _write(tmp_path / "data", "general/2024-01-08.json", '[{"text": "a"}]}{"a":[{"text": "b"}]')
     exp = src.read_export(spark, str(tmp_path / "data"))
     got = {(r.channel, r.date): r.text for r in exp.messages.collect()}
     assert got == {("general", "2024-01-01"): "good", ("general", "2024-01-02"): "hidden folder",
                    ("100%", "2024-01-04"): "percent",
-                   ("general", "2024-01-07"): "last"}
+                   ("general", "2024-01-07"): "last", ("general", "2024-01-09"): "lines"}
+    assert [r.id for r in exp.users.orderBy("ord").collect()] == ["U1", "U2"]
     bad = {r.date: r.reason for r in exp.quarantine.collect()}
     assert set(bad) == {"2024-01-01", "2024-01-03", "2024-01-05", "2024-01-06", "2024-01-08"}
     assert bad["2024-01-03"] == "hidden name"

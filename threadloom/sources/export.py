@@ -94,7 +94,7 @@ def export_roots(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
 
 
 def _json_array_file(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def strict_array(value: str, schema: str) -> Column:
@@ -143,13 +143,24 @@ def _eligible(df: DataFrame) -> DataFrame:
     return df.filter((F.col("depth") >= 1) & ~F.col("file_name").isin(*SKIP_FILES))
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
+def large_files(spark: SparkSession, root: str, large_bytes: int) -> list[str]:
+    """Message files of more than ``large_bytes``: their count is bounded by the
+    export's size through it."""
+    roots, _ = export_roots(spark, root)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(roots)
+              .filter(F.col("length") > large_bytes).select(F.col("_metadata.file_path").alias("path")))
+    return [r.path for r in _eligible(_path_columns(listed, qualified_root(spark, root), "path")).select("path").distinct().collect()]
+
+
+def read_files(spark: SparkSession, root: str, without: list[str] | None = None) -> DataFrame:
     """S3: every message file as (path, rel_path, depth, file_name, channel, date,
     value); value is null for a file that cannot be read because of its name."""
     roots, unread = export_roots(spark, root)
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.json").text(roots)
-           .select(F.col("_metadata.file_path").alias("path"), "value"))
+    raw = (spark.read.option("recursiveFileLookup", True)
+           .option("pathGlobFilter", "*.json").text(roots, wholetext=True))
+    if without:  # (on file metadata: such a file is not opened)
+        raw = raw.filter(~F.col("_metadata.file_path").isin(without))
+    raw = raw.select(F.col("_metadata.file_path").alias("path"), "value")
     if unread:
         raw = raw.unionByName(spark.createDataFrame([(p, None) for p in unread], "path string, value string"))
     return _eligible(_path_columns(raw, qualified_root(spark, root), "path"))
@@ -164,14 +175,22 @@ def losing_files(files: DataFrame) -> DataFrame:
     return ok.join(best, ["channel", "date"]).filter(F.col("path") != F.col("_best")["path"]).select("path")
 
 
-def read_export(spark: SparkSession, root: str, decoded_path: str | None = None) -> Export:
+def read_export(spark: SparkSession, root: str, decoded_path: str | None = None, large_bytes: int | None = None) -> Export:
     """The export's tables.  With ``decoded_path`` the files are decoded once
-    into a parquet table there, from which the three outputs are read."""
-    decoded = decode(read_files(spark, root))
+    into a parquet table there, from which the three outputs are read.  Files of
+    more than ``large_bytes`` are read in pieces by many tasks
+    (``sources/large.py``), with the same result; None reads every file as one row."""
+    large = large_files(spark, root, large_bytes) if large_bytes is not None else []
+    decoded = decode(read_files(spark, root, large))
     if decoded_path is not None:
         decoded.write.mode("overwrite").parquet(decoded_path)
         decoded = spark.read.schema(decoded.schema).parquet(decoded_path)
-    files, messages, quarantine = decoded_tables(decoded)
+    tables = decoded_tables(decoded)
+    if large:
+        from threadloom.sources.large import read_in_pieces
+        more = read_in_pieces(spark, large, qualified_root(spark, root), decoded_path and f"{decoded_path}-pieces")
+        tables = tuple(a.unionByName(b) for a, b in zip(tables, more))
+    files, messages, quarantine = tables
     messages = messages.join(losing_files(files), "path", "left_anti").select(*messages.columns)
     return Export(read_users(spark, root), read_channels(spark, root), files, messages, quarantine)
 
@@ -203,12 +222,17 @@ def decoded_tables(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
                            F.coalesce(F.size("arr"), F.lit(0)).alias("n_messages"))
     ex = (decoded.filter(F.col("reason").isNull())
           .select("channel", "date", "path", "depth", F.posexplode("arr").alias("pos", "m")))
+    return files, message_rows(ex), quarantine
+
+
+def message_rows(elements: DataFrame) -> DataFrame:
+    """Messages from ``(channel, date, path, depth, pos, m)``, ``m`` an element's map."""
     m = F.col("m")
 
     def last(key: str) -> Column:  # of a repeated key the last value
         return F.try_element_at(F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(key)), F.lit(-1))["value"]
 
-    messages = ex.select(
+    return elements.select(
         "channel", "date", F.col("pos").cast("int").alias("pos"), "path", "depth",
         last("user").alias("user"), last("ts").alias("ts"), parse_ts(last("ts")).alias("ts_num"),
         last("thread_ts").alias("thread_ts"), last("text").alias("text"),
@@ -216,7 +240,6 @@ def decoded_tables(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
         F.map_contains_key(m, "subtype").alias("has_subtype"),
         F.map_contains_key(m, "bot_id").alias("has_bot_id"),
         m.alias("fields"))  # every field, for predicates on other keys
-    return files, messages, quarantine
 
 
 def file_report(files: DataFrame) -> DataFrame:
