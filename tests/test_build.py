@@ -3,6 +3,9 @@
 import json
 import os
 
+import pytest
+
+from threadloom.plans import dataset
 from threadloom.plans.dataset import Options, build_dataset
 
 
@@ -40,7 +43,6 @@ def test_build_channel_scope(spark, mini_export, tmp_path):
 
 
 def test_guards(spark, tmp_path):
-    import pytest
     with pytest.raises(FileNotFoundError):
         build_dataset(spark, str(tmp_path / "missing"), str(tmp_path / "out"))
     empty = tmp_path / "empty"
@@ -53,7 +55,6 @@ def test_guards(spark, tmp_path):
 
 
 def test_failed_build_keeps_the_former_output(spark, mini_export, tmp_path):
-    import pytest
     out = str(tmp_path / "out")
     first = build_dataset(spark, mini_export, out, Options(window=100.0))
     assert first.failed_files == 5 and sum(r["n_files"] for r in first.file_report) >= 6
@@ -67,4 +68,49 @@ def test_failed_build_keeps_the_former_output(spark, mini_export, tmp_path):
     with pytest.raises(ValueError, match="no messages"):
         build_dataset(spark, str(bots), out)
     assert spark.read.parquet(first.paths["dataset"] + "/parquet").count() == n
-    assert not [f for f in os.listdir(out) if f.startswith("_staging")]
+    assert len(os.listdir(f"{out}/versions")) == 1 and dataset.table_paths(spark, out) == first.paths
+
+
+@pytest.mark.parametrize("step", ["write_bronze", "write_card", "write_sample_log", "pointer", "rename", "after"])
+def test_a_build_that_dies_leaves_one_whole_version(spark, mini_export, tmp_path, monkeypatch, step):
+    """Between any two steps a reader finds all tables of one version."""
+    out = str(tmp_path / "out")
+    first = build_dataset(spark, mini_export, out, Options(window=100.0))
+
+    def whole():
+        paths = dataset.table_paths(spark, out)
+        assert len({p.rsplit("/", 1)[0] for p in paths.values()}) == 1
+        rows = {n: spark.read.parquet(p + ("/parquet" if n == "dataset" else "")).count() for n, p in paths.items()
+                if n in ("bronze", "quarantine", "dataset")}
+        assert rows["bronze"] and rows["dataset"] and os.listdir(paths["card"]) and os.listdir(paths["sample"])
+        return paths
+
+    def die(*a, **k):
+        raise KeyboardInterrupt(step)
+
+    if step in ("write_card", "write_sample_log"):
+        monkeypatch.setattr(dataset.sinks, step, die)
+    elif step == "write_bronze":
+        monkeypatch.setattr(dataset.src, step, die)
+    elif step == "after":
+        monkeypatch.setattr(dataset, "drop_old_versions", die)
+    elif step == "pointer":  # dies with the new pointer file written but not renamed
+        def half(spark, out_dir, version):
+            with open(f"{out_dir}/_CURRENT-{version}", "w") as f:
+                f.write(version)
+            die()
+
+        monkeypatch.setattr(dataset, "commit_version", half)
+    else:
+        monkeypatch.setattr(dataset, "commit_version", die)
+    with pytest.raises(KeyboardInterrupt):
+        build_dataset(spark, mini_export, out, Options(window=100.0, system_prompt="New."))
+    assert (whole() == first.paths) == (step != "after")
+    monkeypatch.undo()
+    last = build_dataset(spark, mini_export, out, Options(window=100.0, system_prompt="Newer.", keep_versions=0))
+    assert whole() == last.paths and os.listdir(f"{out}/versions") == [last.paths["bronze"].split("/")[-2]]
+
+
+def test_no_version_yet(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        dataset.table_paths(spark, str(tmp_path))

@@ -37,28 +37,33 @@ def resolve_author(df: DataFrame, users: DataFrame, user_col: str = "user",
 
 
 def resolve_mentions(df: DataFrame, users: DataFrame, key: Sequence[str], text: str = "text",
-                     out: str = "text") -> DataFrame:
+                     out: str = "text", blocks: int | None = None) -> DataFrame:
     """Every ``<@ID>`` in ``text`` -> ``@name``.
 
-    Only messages that hold a mention take part: their mentions are exploded
-    with their position, looked up with an equi-join on the user id and
-    regrouped per message by ``key`` (a unique row key); the rest of the row
-    travels with the regroup.  All other messages pass by untouched.
+    Messages that hold a mention are dealt into ``blocks`` (by a hash of ``key``, a
+    row key; default 8 for each shuffle partition).  A block's distinct ids are looked up once
+    and come back as one map, and the messages take their names from the map of
+    their block: no message is regrouped and its text crosses at most one shuffle (none
+    where the maps are small enough for the optimizer to broadcast).  An id that very
+    many messages mention is asked for once a block.  All other messages pass
+    by untouched.  A map holds the known ids of one block: choose the blocks so
+    that one block's mentions fit a task.
     """
-    key = list(key)
-    rest = [c for c in df.columns if c not in key]
-    ids = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(MENTION_RE), 1)
-    found = df.withColumn("_ids", ids)
-    plain = found.filter(F.size("_ids") == 0).drop("_ids").withColumn(out, F.col(text))
-    d = dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
-    ex = found.filter(F.size("_ids") > 0).select(*key, F.struct(*rest).alias("_row"), F.posexplode("_ids").alias("_i", "_mid"))
-    ex = ex.join(d, "_mid", "left").select(
-        *key, "_row", "_i", F.concat(F.lit("@"), F.coalesce("_mname", "_mid")).alias("_n"))
-    g = ex.groupBy(*key).agg(F.first("_row").alias("_row"),
-                            F.sort_array(F.collect_list(F.struct("_i", "_n"))).alias("_ns"))
-    g = g.select(*key, *[F.col("_row")[c].alias(c) for c in rest], "_ns")
-    named = g.withColumn(out, rejoin_mentions(F.col(text), F.col("_ns")["_n"])).drop("_ns")
-    return named.unionByName(plain)
+    spark = df.sparkSession
+    n = blocks or 8 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    marked = F.coalesce(F.contains(F.col(text), F.lit("<@")), F.lit(False))
+    plain = df.filter(~marked).withColumn(out, F.col(text))
+    held = df.filter(marked).withColumns({
+        "_ids": F.regexp_extract_all(F.col(text), F.lit(MENTION_RE), 1),
+        "_block": F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(n)).cast("int")})
+    directory = dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
+    asked = held.select("_block", F.explode("_ids").alias("_mid")).distinct()
+    maps = asked.join(directory, "_mid").groupBy(F.col("_block").alias("_of")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_mid", "_mname"))).alias("_map"))
+    name = lambda i: F.concat(F.lit("@"), F.coalesce(F.try_element_at("_map", i), i))
+    named = held.join(maps, F.col("_block") == F.col("_of"), "left").withColumn(
+        out, F.when(F.size("_ids") == 0, F.col(text)).otherwise(rejoin_mentions(F.col(text), F.transform("_ids", name))))
+    return named.select(*plain.columns).unionByName(plain)
 
 
 def clean_messages(df: DataFrame, users: DataFrame, key: Sequence[str], text: str = "text",

@@ -2,13 +2,13 @@
 
 R7 reads only file metadata, so the size of a multi-GB model folder is summed
 without reading it.  R8
-parses ``time - LEVEL - message`` lines and measures stage durations with
-``lag`` inside each run.
+parses ``time - LEVEL - message`` lines and measures stage durations from
+the line before in each run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import epoch_micros
@@ -24,6 +24,9 @@ RUN_START = "Starting training pipeline:"
 GIB = 1024 ** 3
 # ---------------------------------------------------------------------------
 
+#: A window partition holds the lines of a run whose numbers agree but for these bits.
+LINE_BUCKET_BITS = 20
+
 
 def _folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -80,11 +83,10 @@ def parse_log(raw: DataFrame) -> DataFrame:
     # running count of run starts, bucketed by input split (upper bits of the id)
     x = x.withColumn("_start", F.when(F.col("message") == RUN_START, 1).otherwise(0))
     x = prefix_scan(x, [], ["line_no"], F.shiftright(F.col("line_no"), 33), {"run": ("sum", "_start")})
-    x = x.withColumn("run", F.col("run").cast("long")).drop("_start")
-    wr = Window.partitionBy("run").orderBy("line_no")
-    x = x.withColumn("_us", epoch_micros("ts"))
-    since = F.col("_us") - F.lag("_us").over(wr)
-    return x.withColumn("since_prev_s", since / F.lit(1e6)).drop("_us")
+    x = x.withColumn("run", F.col("run").cast("long")).drop("_start").withColumn("_us", epoch_micros("ts"))
+    # the line before in the same run, whatever the run's length: carried over the buckets too
+    x = prefix_scan(x, ["run"], ["line_no"], F.shiftright(F.col("line_no"), LINE_BUCKET_BITS), {"_before": ("prev", "_us")})
+    return x.withColumn("since_prev_s", (F.col("_us") - F.col("_before")) / F.lit(1e6)).drop("_us", "_before")
 
 
 def stage_durations(log: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ cut to a token budget, whole-example packing.  Registered into
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadloom.functions.template import BOS
 from threadloom.functions.tokens import octet_proxy
-from threadloom.operators import batching, examples, order, transcripts
+from threadloom.operators import batching, examples, order, threads, transcripts
 from threadloom.plans.catalogue import MSG_VIEW, register
 from threadloom.plans.catalogue_more import (CHAT_PROMPT, NL, _RENDER_SQL, _SEG_SQL, _table_convs, _transcript, sql_render_part,
                                              sql_strip)
@@ -65,3 +66,36 @@ def q_pack_whole(spark: SparkSession, sf: str) -> DataFrame:
     ex = examples.with_token_count(examples.render(_table_convs(spark, sf)), octet_proxy)
     return batching.pack_whole(ex.select("conv_id", "n_tokens"), max_tokens=ROW_TOKENS).selectExpr(
         "conv_id", "cast(n_tokens AS bigint) AS n_tokens", "packed_row", "row_offset")
+
+
+# a thread view of the events: a message is named by its id; a third of them reply in one thread of their
+# channel, others to the message whose id is theirs less some (another channel's or not there: an orphan)
+_THREADS = f"""{MSG_VIEW},
+n AS (SELECT event_id, ts_num, channel, "user", CAST(event_id AS VARCHAR) AS ts, text,
+             CASE WHEN event_id % 3 = 0 THEN '12' WHEN thread_ts IS NOT NULL THEN CAST(event_id - event_id % 20 AS VARCHAR) END AS thread_ts
+      FROM m),
+i AS (SELECT *, coalesce(thread_ts, ts) AS thread_id FROM n),
+h AS (SELECT i.*, i.thread_id = i.ts AS is_root, o.event_id IS NULL AS orphan, o."user" AS root_user,
+             row_number() OVER (PARTITION BY i.channel, i.thread_id ORDER BY i.ts_num, i.event_id) AS thread_pos
+      FROM i LEFT JOIN i o ON o.channel = i.channel AND o.ts = i.thread_id AND o.thread_id = o.ts)"""
+
+
+def _threads(spark: SparkSession, sf: str) -> DataFrame:
+    m = tables.event_messages(spark, sf)
+    named = F.when(F.col("event_id") % 3 == 0, F.lit("12")).when(
+        F.col("thread_ts").isNotNull(), (F.col("event_id") - F.col("event_id") % 20).cast("string"))
+    m = m.select("event_id", "ts_num", "channel", "user", F.col("event_id").cast("string").alias("ts"), "text", named.alias("thread_ts"))
+    return threads.thread_messages(m, order=["event_id"])
+
+
+@register("thread_messages", f"""WITH {_THREADS}
+SELECT event_id, channel, thread_id, is_root, orphan, root_user, thread_pos FROM h""")
+def q_thread_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return _threads(spark, sf).select("event_id", "channel", "thread_id", "is_root", "orphan", "root_user", "thread_pos")
+
+
+@register("next_in_thread", f"""WITH {_THREADS}
+SELECT a.event_id, a.thread_id, a.text, b.text AS reply, b."user" AS reply_user
+FROM h a JOIN h b ON b.channel = a.channel AND b.thread_id = a.thread_id AND b.thread_pos = a.thread_pos + 1""")
+def q_next_in_thread(spark: SparkSession, sf: str) -> DataFrame:
+    return threads.next_in_thread(_threads(spark, sf)).select("event_id", "thread_id", "text", "reply", "reply_user")

@@ -13,6 +13,7 @@ write, so they cost no extra pass.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -43,6 +44,8 @@ class Options:
     split_mode: str = "exact"         # "exact" or "hash"
     bucket_seconds: float = DEFAULT_BUCKET_SECONDS
     newline: str = "literal"
+    keep_versions: int = 1            # former versions left in the output folder
+    large_bytes: int | None = 1 << 30  # export files above are read in pieces (None: never)
 
 
 @dataclass
@@ -89,36 +92,95 @@ def examples_from_messages(messages: DataFrame, users: DataFrame, opt: Options,
     return out.withColumn("split_hash", split.split_hash_key("conv_id", opt.seed))
 
 
-def _swap(spark: SparkSession, staged: str, out_dir: str, names: list[str]) -> None:
-    """Put the staged tables in place of the former ones."""
+CURRENT = "CURRENT"
+TABLES = ("bronze", "quarantine", "dataset", "dataset_sample", "dataset_card")
+
+
+def current_version(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder of the committed version, as the pointer file names it; None
+    before the first commit."""
     Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name in names:
-        fs.delete(Path(f"{out_dir}/{name}"), True)
-        if not fs.rename(Path(f"{staged}/{name}"), Path(f"{out_dir}/{name}")):
-            raise OSError(f"cannot move {staged}/{name} into place")
+    pointer = Path(f"{out_dir}/{CURRENT}")
+    fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return f"{out_dir}/versions/{bytes(stream.readAllBytes()).decode().strip()}"
+    finally:
+        stream.close()
+
+
+def table_paths(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The committed tables: bronze, quarantine, dataset, sample, card.  Resolve
+    them once and read all from the same version."""
+    version = current_version(spark, out_dir)
+    if version is None:
+        raise FileNotFoundError(f"no committed dataset in {out_dir}")
+    return {n.removeprefix("dataset_"): f"{version}/{n}" for n in TABLES}
+
+
+def commit_version(spark: SparkSession, out_dir: str, version: str) -> None:
+    """Make ``versions/<version>`` the committed one.  The only step a reader can
+    see is the rename of a written pointer file over the former one."""
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    new = Path(f"{out_dir}/_{CURRENT}-{version}")
+    fs = new.getFileSystem(conf)
+    stream = fs.create(new, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    qualified = lambda p: fs.makeQualified(p)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified(new).toUri(), conf).rename(
+        qualified(new), qualified(Path(f"{out_dir}/{CURRENT}")), options)
+
+
+def drop_old_versions(spark: SparkSession, out_dir: str, keep: int) -> list[str]:
+    """Remove all but the committed version and the ``keep`` newest others; returns
+    the names of those removed.  Versions carry the time of their build in front of their name,
+    so builds that are still running, being newer, are kept first."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = Path(f"{out_dir}/versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = (current_version(spark, out_dir) or "").rsplit("/", 1)[-1]
+    names = sorted((st.getPath().getName() for st in fs.listStatus(folder)), reverse=True) if fs.exists(folder) else []
+    old = [n for n in names if n != held][keep:]
+    for n in old:
+        fs.delete(Path(f"{out_dir}/versions/{n}"), True)
+    return old
 
 
 def build_dataset(spark: SparkSession, export_dir: str, out_dir: str, options: Options | None = None) -> BuildResult:
-    """The whole build.  All tables are written to a staging folder inside
-    ``out_dir`` and take the former ones' place only when every guard (S8) has
-    passed; a failed build leaves the former output as it was."""
+    """The whole build.  All tables are written to a new folder below
+    ``out_dir/versions``; when every guard (S8) has passed, one pointer file
+    (``CURRENT``) is renamed over the former one.  A reader that resolves
+    ``table_paths`` finds the former version or the new one, whole, whenever the
+    build dies; an unfinished version is removed by its build or, if that is
+    killed, by a later one.  Options.keep_versions former versions stay for
+    readers that still use them."""
     opt = options or Options()
-    staged = f"{out_dir}/_staging-{uuid.uuid4().hex}"
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    staged = f"{out_dir}/versions/{version}"
     Path = spark._jvm.org.apache.hadoop.fs.Path
     fs = Path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
         result = _build(spark, export_dir, staged, opt)
-        names = ["bronze", "quarantine", "dataset", "dataset_sample", "dataset_card"]
-        _swap(spark, staged, out_dir, names)
-        result.paths = {n.removeprefix("dataset_"): f"{out_dir}/{n}" for n in names}
-        return result
-    finally:
+        for scratch in ("decoded", "decoded-records", "decoded-elements", "examples"):
+            fs.delete(Path(f"{staged}/{scratch}"), True)
+        commit_version(spark, out_dir, version)
+    except BaseException:
         fs.delete(Path(staged), True)
+        raise
+    drop_old_versions(spark, out_dir, opt.keep_versions)
+    result.paths = {n.removeprefix("dataset_"): f"{staged}/{n}" for n in TABLES}
+    return result
 
 
 def _build(spark: SparkSession, export_dir: str, out_dir: str, opt: Options) -> BuildResult:
-    exp = src.read_export(spark, export_dir, decoded_path=f"{out_dir}/decoded")
+    exp = src.read_export(spark, export_dir, decoded_path=f"{out_dir}/decoded", large_bytes=opt.large_bytes)
     report = [r.asDict() for r in src.file_report(exp.files).orderBy("channel").collect()]  # one row a channel
     bronze = f"{out_dir}/bronze"
     src.write_bronze(exp.messages, bronze)
