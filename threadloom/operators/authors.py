@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import MENTION_RE, UNKNOWN_USER, clean_rest, rejoin_mentions
 
+#: Messages whose mentions are looked up together.
+BLOCK_MESSAGES = 16
+
+
 def dedup_users(users: DataFrame) -> DataFrame:
     """First entry per id wins (the reference scans the list in order);
     ``real_name`` missing or null falls back to the id."""
@@ -40,22 +44,22 @@ def resolve_mentions(df: DataFrame, users: DataFrame, key: Sequence[str], text:
                      out: str = "text", blocks: int | None = None) -> DataFrame:
     """Every ``<@ID>`` in ``text`` -> ``@name``.
 
-    Messages that hold a mention are dealt into ``blocks`` (by a hash of ``key``, a
-    row key; default 8 for each shuffle partition).  A block's distinct ids are looked up once
+    Messages that hold a mention are dealt into blocks of about ``BLOCK_MESSAGES``
+    (``blocks`` sets their number) by a hash of ``key``, a row key.  A block's distinct ids are looked up once
     and come back as one map, and the messages take their names from the map of
     their block: no message is regrouped and its text crosses at most one shuffle (none
     where the maps are small enough for the optimizer to broadcast).  An id that very
     many messages mention is asked for once a block.  All other messages pass
-    by untouched.  A map holds the known ids of one block: choose the blocks so
-    that one block's mentions fit a task.
+    by untouched.  A map holds the known ids of one block, few on purpose: it is
+    searched entry by entry.
     """
-    spark = df.sparkSession
-    n = blocks or 8 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     marked = F.coalesce(F.contains(F.col(text), F.lit("<@")), F.lit(False))
     plain = df.filter(~marked).withColumn(out, F.col(text))
+    n = F.lit(blocks) if blocks else F.greatest(
+        F.lit(1), F.ceil(df.filter(marked).agg(F.count(F.lit(1))).scalar() / F.lit(BLOCK_MESSAGES)))
     held = df.filter(marked).withColumns({
         "_ids": F.regexp_extract_all(F.col(text), F.lit(MENTION_RE), 1),
-        "_block": F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(n)).cast("int")})
+        "_block": F.pmod(F.xxhash64(*[F.col(c) for c in key]), n).cast("long")})
     directory = dedup_users(users).select(F.col("id").alias("_mid"), F.col("real_name").alias("_mname"))
     asked = held.select("_block", F.explode("_ids").alias("_mid")).distinct()
     maps = asked.join(directory, "_mid").groupBy(F.col("_block").alias("_of")).agg(
