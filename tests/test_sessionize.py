@@ -156,3 +156,15 @@ def test_prefix_scan(spark):
             s += v
             mx = v if mx is None else max(mx, v)
             assert got[(k, i)] == (s, mx)
+
+
+def test_bisection_equals_a_count(spark):
+    from pyspark.sql import functions as F
+
+    from threadloom.operators.sessionize import at_or_before
+    df = spark.range(45).crossJoin(spark.range(12).withColumnRenamed("id", "n"))
+    cuts = F.transform(F.sequence(F.lit(0), F.col("n")), lambda i: F.struct((i * 3).alias("a"), F.lit(1).alias("b")))
+    cuts = F.slice(cuts, 1, F.col("n").cast("int"))
+    own = F.struct(F.col("id").alias("a"), F.lit(1).alias("b"))
+    got = df.select(at_or_before(cuts, own).alias("x"), F.size(F.filter(cuts, lambda c: c <= own)).alias("y")).where("NOT x <=> y")
+    assert got.count() == 0

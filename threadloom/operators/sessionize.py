@@ -35,6 +35,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.session import cut_lineage
+
 DEFAULT_BUCKET_SECONDS = 3600.0
 DEFAULT_BUCKET_ROWS = 2_000_000   # rows per window partition above which a time bucket is split
 SAMPLES_PER_CUT = 256             # sampled rows between two cuts of a crowded time bucket
@@ -83,21 +85,38 @@ def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     ``order_cols``.  It is the time bucket and, within a bucket of more than
     ``bucket_rows`` rows, the number of cuts at or before the row.
 
-    The cuts are broadcast: there is one for about ``bucket_rows / 2`` rows of
-    crowded buckets (at 10^12 messages all in crowded buckets, a million cuts
-    with the default)."""
+    The cuts are written once and joined: the optimizer broadcasts them if the
+    written table is small, else it shuffles (there is one for about ``bucket_rows / 2``
+    rows of crowded buckets).  A row finds its place among its bucket's cuts by bisection."""
     coarse = _coarse(order_cols[0], bucket_seconds)
+    whole = df.withColumn("_bk", F.struct(coarse.alias("bucket"), F.lit(0).alias("sub")))
     if not bucket_rows:
-        return df.withColumn("_bk", F.struct(coarse.alias("bucket"), F.lit(0).alias("sub")))
+        return whole
+    if df.groupBy(*keys, coarse.alias("_cb")).count().filter(F.col("count") > F.lit(int(bucket_rows))).isEmpty():
+        return whole  # no bucket to cut
+    hot = cut_lineage(hot_splitters(df, keys, order_cols, bucket_seconds, bucket_rows))
     x = df.withColumn("_cb", coarse)
-    hot = hot_splitters(df, keys, order_cols, bucket_seconds, bucket_rows)
     cond = x["_cb"] == hot["_hcb"]
     for i, k in enumerate(keys):
         cond = cond & x[k].eqNullSafe(hot[f"_hk{i}"])
     own = F.struct(*[F.col(c) for c in order_cols])
-    sub = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda cut: cut <= own)))
+    sub = F.when(F.col("_cuts").isNull(), 0).otherwise(at_or_before(F.col("_cuts"), own))
     bk = F.struct(F.col("_cb").alias("bucket"), sub.cast("int").alias("sub"))
-    return x.join(F.broadcast(hot), cond, "left").select(*[x[c] for c in df.columns], bk.alias("_bk"))
+    return x.join(hot, cond, "left").select(*[x[c] for c in df.columns], bk.alias("_bk"))
+
+
+def at_or_before(ascending: Column, value: Column) -> Column:
+    """How many entries of an ascending array are at most ``value``, by bisection."""
+    n = F.size(ascending)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int"))
+
+    def halve(found: Column, _: Column) -> Column:
+        low, high = found["low"], found["high"]
+        mid = F.floor((low + high) / 2).cast("int")
+        right = F.coalesce((low < high) & (F.get(ascending, mid) <= value), F.lit(False))
+        return F.struct(F.when(right, mid + 1).otherwise(low).alias("low"), F.when(right, high).otherwise(F.when(low < high, mid).otherwise(high)).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), n.alias("high")), halve, lambda found: found["low"])
 
 
 def key_texts(keys: Sequence[Column]) -> list[Column]:
