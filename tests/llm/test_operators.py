@@ -67,6 +67,18 @@ def test_html(spark):
     assert html_text.extract_text(df.where("false")).count() == 0
 
 
+def test_unclosed_tags_are_scanned_once():
+    import time
+    w = html_text.Weights()
+    for page in ("<p " * 350_000, "a > b " + "<p " * 350_000, "<script>x</script " * 60_000, "<!-- " * 200_000, "<p>" + "</p " * 250_000):
+        began = time.process_time()
+        html_text.blocks_of(page, w)
+        assert time.process_time() - began < 2, page[:9]
+    cases = {"a<b": "a<b", "x <!-- > y": "x ", "x <!-- > --> y <!-- z": "x  y ", "<p>x</p> <? y": "x", "a > b <i": "a > b <i", "a<!b>c<!d": "ac"}
+    for page, want in cases.items():
+        assert "".join("".join(b.parts) for b in html_text.blocks_of(page, w)).strip() == want.strip(), page
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(60):

@@ -43,6 +43,8 @@ CLOSED_BY = {"p": frozenset("address article aside blockquote details div dl fie
 # A tag whose quotes do not pair up within bounds ends at the next ">".
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"""
                   r"""((?:[^>"']{1,2000}|"[^"]{0,9999}"|'[^']{0,9999}'){0,2000}+|[^>]*)>""", re.S)
+#: A comment or declaration that runs to the page's end.
+_UNCLOSED = re.compile(r"<[!?]")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _WORDS = re.compile(r"[a-z0-9]+")
 
@@ -133,13 +135,15 @@ def blocks_of(page: str, w: Weights) -> list[Block]:
             block.linked += len(raw)
 
     at, end = 0, len(page)
+    closed = page.rfind(">") + 1  # no tag ends behind it: looked for no further, scanning stays linear
     while at < end:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, closed)
         if m is None:
-            text(page[at:])
+            rest = _UNCLOSED.search(page, max(at, closed))
+            text(page[at:rest.start() if rest else end])
             break
         text(page[at:m.start()])
-        at = m.end()
+        at = end if m[0].startswith("<!--") and not m[0][4:].endswith("-->") else m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
@@ -160,7 +164,7 @@ def blocks_of(page: str, w: Weights) -> list[Block]:
             text(" ")
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at, max(at, closed))
             at = end if close is None else close.end()
             if tag == "title" or tag not in INLINE:
                 block = block if tag in ("svg", "math", "script", "style") else None
