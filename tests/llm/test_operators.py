@@ -153,6 +153,37 @@ def test_exact_dedup(docs, none, how):
     assert len(kept) == len(set(kept)) == len({t or "" for _, t in TEXTS})
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
     assert exact_dedup.exact_dedup(none, how).count() == 0
+    assert rows(exact_dedup.exact_dedup(docs, how, bound=0)) == rows(exact_dedup.exact_dedup(docs, how))  # no filter at the scan
+
+
+def test_colliding_texts_of_many_chunks(spark):
+    """All texts of a length share one fingerprint; they differ in any chunk."""
+    weak = exact_dedup.Fingerprint(primes=(2, 2), bases=(1, 1), chunk=4)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ac") for _ in range(n)) for n in (3, 4, 9, 12) for _ in range(40)]  # (odd bytes)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert exact_dedup.collisions(df, weak).count() >= 3
+    for r in exact_dedup.exact_dedup(df, weak).collect():
+        same = [i for i, t in enumerate(texts) if t == texts[r.doc_id]]
+        assert (r.keep_id, r.group_size, r.kept) == (max(same), len(same), r.doc_id == max(same))
+
+
+def test_only_repeated_texts_are_compared(spark):
+    from threadloom.llm.store import only_wanted
+    df = spark.createDataFrame([(i, f"text {i // 2 if i < 10 else i}") for i in range(400)], "doc_id long, text string")
+    df = df.withColumn("mark", F.xxhash64("text"))
+    marks = df.groupBy("mark").count().where("count > 1").select("mark")
+    assert only_wanted(df, marks, "mark").count() == 10 and only_wanted(df, marks, "mark", 4).count() == 400
+
+
+def test_fingerprint_of_a_huge_text_in_bounded_memory():
+    import tracemalloc
+    data = np.full(64 << 20, 97, np.uint8)
+    tracemalloc.start()
+    got = exact_dedup.fingerprints(data, np.array([0, len(data)]), exact_dedup.Fingerprint())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] != 0 and peak < 100 << 20
 
 
 def test_collisions_are_found(docs):

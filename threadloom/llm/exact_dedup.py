@@ -5,7 +5,7 @@ A text is hashed in chunks; the hash of a concatenation is
 and combined by length-shifted arithmetic.  Texts of equal fingerprint and
 length are then compared chunk by chunk: equal chunks fold together in an
 aggregate with map-side combine, and a chunk position with two different
-contents exposes a collision, which is resolved on the full texts."""
+contents exposes a collision, whose texts are told apart by their chunks."""
 
 from __future__ import annotations
 
@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import textbuf
-from threadloom.llm.store import Scratch
+from threadloom.llm.store import Scratch, only_wanted
 
 CHUNK_BYTES = 1 << 16
+#: Bytes hashed, or handed on as chunks, at once.
+BLOCK_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -57,20 +59,33 @@ def chunk_bounds(offsets: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarra
     return row, start, np.minimum(start + chunk, offsets[row + 1])
 
 
+def runs(start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs [i, j) of neighbouring chunks with at most ``BLOCK_BYTES`` (or one chunk)."""
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + BLOCK_BYTES, "right")))
+        yield at, to
+        at = to
+
+
 def fingerprints(data: np.ndarray, offsets: np.ndarray, how: Fingerprint) -> np.ndarray:
-    """The 62-bit fingerprint of every text; 0 for an empty one."""
+    """The 62-bit fingerprint of every text; 0 for an empty one.  Chunks are
+    hashed a block at a time, so memory beside the texts does not grow with them."""
     row, start, end = chunk_bounds(offsets, how.chunk)
     out = np.zeros(len(offsets) - 1, np.int64)
     if not len(row):
         return out
-    exponent = np.repeat(end, end - start) - 1 - np.arange(len(data))
     behind = offsets[row + 1] - end  # bytes of the text after the chunk
     heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
     for prime, base in zip(how.primes, how.bases, strict=True):
         p = np.uint64(prime)
         small = how.powers(base, prime, how.chunk)
         large = how.powers(pow(base, how.chunk, prime), prime, int(behind.max()) // how.chunk + 1)
-        own = np.add.reduceat((data + np.uint64(1)) * small[exponent], start) % p
+        own = np.empty(len(row), np.uint64)
+        for i, j in runs(start, end):
+            lo, hi = start[i], end[j - 1]
+            exponent = np.repeat(end[i:j] - lo, end[i:j] - start[i:j]) - 1 - np.arange(hi - lo)
+            own[i:j] = np.add.reduceat((data[lo:hi] + np.uint64(1)) * small[exponent], start[i:j] - lo) % p
         shift = large[behind // how.chunk] * small[behind % how.chunk] % p
         whole = np.add.reduceat(own * shift % p, heads) % p
         out[row[heads]] = (out[row[heads]] << 31) | whole.astype(np.int64)
@@ -78,6 +93,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, how: Fingerprint) -> np.
 
 
 def _digest_rows(how: Fingerprint):
+    """The rows' columns, with length, fingerprint and SHA-256 of their text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, text in textbuf.slices(batch, "text"):
@@ -85,27 +101,38 @@ def _digest_rows(how: Fingerprint):
                 raw = memoryview(data)
                 sha = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("doc_id")), pa.array(np.diff(off)),
-                     pa.array(fingerprints(data, off, how)), pa.array(sha, pa.binary())],
-                    ["doc_id", "n_bytes", "fp", "sha"])
+                    [*part.columns, pa.array(np.diff(off)), pa.array(fingerprints(data, off, how)),
+                     pa.array(sha, pa.binary())], [*part.schema.names, "n_bytes", "fp", "sha"])
     return run
 
 
-def _chunk_rows(how: Fingerprint):
+def _narrow(run):
+    """``run`` without the text column."""
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield batch.select([c for c in batch.schema.names if c != "text"])
+    return narrow
+
+
+def _chunk_rows(how: Fingerprint, carried: tuple[str, ...] = ()):
+    """A row a chunk: fp and n_bytes of its text, its place and its bytes, and
+    the ``carried`` columns of the text's row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, text in textbuf.slices(batch, "text"):
+            for part, text in textbuf.slices(batch, "text"):
                 data, off = textbuf.buffers(text)
                 row, start, end = chunk_bounds(off, how.chunk)
-                nth = (start - off[row]) // how.chunk
-                bounds = np.append(start, end[-1:]).astype(np.int64)
-                content = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
-                ) if len(row) else pa.array([], pa.large_binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fingerprints(data, off, how)[row]), pa.array(np.diff(off)[row]),
-                     pa.array(nth), content.cast(pa.binary())],
-                    ["fp", "n_bytes", "nth", "content"])
+                fp, size = fingerprints(data, off, how), np.diff(off)
+                for i, j in runs(start, end):
+                    lo, at = start[i], row[i:j]
+                    bounds = np.append(start[i:j], end[j - 1]) - lo
+                    content = pa.Array.from_buffers(
+                        pa.binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int32)),
+                                             pa.py_buffer(np.ascontiguousarray(data[lo:end[j - 1]]))])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(part.schema.get_field_index(c)).take(pa.array(at)) for c in carried),
+                         pa.array(fp[at]), pa.array(size[at]), pa.array((start[i:j] - off[at]) // how.chunk), content],
+                        [*carried, "fp", "n_bytes", "nth", "content"])
     return run
 
 
@@ -124,8 +151,35 @@ def collisions(docs: DataFrame, how: Fingerprint = Fingerprint(), text: str = "t
             .where("variants > 1").select("fp", "n_bytes").distinct())
 
 
+def told_apart(suspects: DataFrame, how: Fingerprint, scratch: Scratch) -> DataFrame:
+    """``suspects`` (rid, text, fp, n_bytes, ...; a written table) without the
+    text, plus ``variant``: the same for rows of one text, different for others.
+    Every chunk is named by the least rid holding it; the names of a text's
+    chunks, in order, are its variant."""
+    parts = suspects.select("rid", "text").mapInArrow(
+        _chunk_rows(how, ("rid",)), "rid long, fp long, n_bytes long, nth long, content binary")
+    place = ["fp", "n_bytes", "nth", "content"]
+    names = scratch.keep(parts.groupBy(*place).agg(F.min("rid").alias("name")), "chunk-names")
+    variants = (parts.join(names, place).groupBy("rid")
+                .agg(F.sort_array(F.collect_list(F.struct("nth", "name"))).alias("variant")))  # a text's chunks
+    return suspects.drop("text").join(variants, "rid")
+
+
+def _grouped(rows: DataFrame, key: list[str], scratch: Scratch, table: str) -> DataFrame:
+    """Rows of each key, as written: the last row and how many there are."""
+    return scratch.keep(rows.groupBy(*key).agg(
+        F.max(F.struct("doc_id", "rid")).alias("last"), F.count(F.lit(1)).alias("group_size")), table)
+
+
+def _judged(rows: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+    # (groups are written, so that this join is dealt out on its own and can split a hot group)
+    return rows.join(groups, key).select(
+        "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
+        (F.col("rid") == F.col("last.rid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+
+
 def exact_dedup(docs: DataFrame, how: Fingerprint = Fingerprint(), doc_id: str = "doc_id", text: str = "text",
-                scratch: Scratch | None = None) -> DataFrame:
+                scratch: Scratch | None = None, bound: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical byte for byte; null counts as empty, and
@@ -133,21 +187,30 @@ def exact_dedup(docs: DataFrame, how: Fingerprint = Fingerprint(), doc_id: str =
     repeated rows with that doc_id exactly one stays.  A null doc_id is smaller
     than any other (keep_id is null only if the whole group has none).  An
     empty table gives no rows; other columns of ``docs`` do not take part.
+
+    Only texts whose fingerprint repeats are compared: a 64-bit key of their
+    content, broadcast if few enough (``bound``), keeps the others at the scan.
+    Different texts of one fingerprint are told apart by their chunks.
     """
     scratch = scratch or Scratch(docs.sparkSession, "exact-dedup")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = (docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+            .withColumn("mark", F.xxhash64("text")))
+    found = "n_bytes long, fp long, sha binary"
     digests = scratch.keep(
-        rows.mapInArrow(_digest_rows(how), "doc_id long, n_bytes long, fp long, sha binary")
+        rows.mapInArrow(_narrow(_digest_rows(how)), f"doc_id long, mark long, {found}")
         .withColumn("rid", F.monotonically_increasing_id()), "digests")
-    mixed = scratch.keep(collisions(docs, how, text), "collisions")
     key = ["fp", "n_bytes"]
-    if not mixed.isEmpty():
-        key = ["fp", "n_bytes", "sha"]  # different texts of one fingerprint are told apart by SHA-256
-    # written, so that the join below is dealt out on its own and can split a hot group
-    groups = scratch.keep(
-        digests.groupBy(*key).agg(F.max(F.struct("doc_id", "rid")).alias("last"), F.count(F.lit(1)).alias("group_size")),
-        "groups")
-    out = digests.join(groups, key)
-    return out.select(
-        "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
-        (F.col("rid") == F.col("last.rid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    groups = _grouped(digests, key, scratch, "groups")
+    repeated = groups.where("group_size > 1 AND n_bytes > 0").select(*key)
+    marks = scratch.keep(digests.join(repeated, key, "left_semi").select("mark").distinct(), "marks")
+    alike = only_wanted(rows, marks, "mark", bound)
+    mixed = scratch.keep(collisions(alike, how), "collisions")
+    if mixed.isEmpty():
+        return _judged(digests, groups, key)
+    suspects = scratch.keep(
+        alike.select("doc_id", "text").mapInArrow(_digest_rows(how), f"doc_id long, text string, {found}")
+        .join(mixed, key, "left_semi").withColumn("rid", F.monotonically_increasing_id()), "suspects")
+    apart = scratch.keep(told_apart(suspects, how, scratch), "apart")
+    exact = [*key, "variant"]
+    return (_judged(digests.join(mixed, key, "left_anti"), groups, key)
+            .unionByName(_judged(apart, _grouped(apart, exact, scratch, "variants"), exact)))

@@ -8,6 +8,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Keys of 64 bits that are broadcast at most (about 50 MB as a hash table).
+BROADCAST_KEYS = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,3 +44,14 @@ class Scratch:
         """Remove a table nothing lazy reads any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def only_wanted(rows: DataFrame, wanted: DataFrame, key: str, bound: int | None = None) -> DataFrame:
+    """``rows`` without those whose 64-bit ``key`` is not in the written table
+    ``wanted``, as a broadcast filter next to the scan, so that wide columns of
+    the others are never shuffled.  Beyond ``bound`` distinct keys all rows pass:
+    callers use it to move less, and settle the exact set themselves."""
+    bound = BROADCAST_KEYS if bound is None else bound
+    if wanted.count() > bound:
+        return rows
+    return rows.join(F.broadcast(wanted.select(key)), key, "left_semi")
