@@ -382,6 +382,29 @@ def test_token_counts(spark, docs, none):
     assert token_cache.count_tokens(none, cache, WORDS).count() == 0
 
 
+@pytest.mark.parametrize("bound", [None, 0])
+def test_partly_known_contents(spark, docs, bound):
+    """Half the contents are cached: the others alone are encoded, once each."""
+    cache = Scratch(spark, "test").path("cache")
+    token_cache.fill_cache(docs.where("doc_id < 6"), cache, WORDS)
+    before = spark.read.parquet(cache).count()
+    token_cache.fill_cache(docs, cache, WORDS, bound=bound)
+    after = spark.read.parquet(cache)
+    assert before < after.count() == after.select("digest").distinct().count()
+    assert after.count() == len({(t or "").strip(" \t\n\x0b\x0c\r") for _, t in TEXTS})
+
+
+def test_known_texts_stay_at_the_scan(spark, docs):
+    """The missing digests filter the scan, below the exchange of the texts."""
+    missing = Scratch(spark, "test").keep(
+        docs.where("doc_id = 7").select(F.unhex(F.sha2(token_cache.normalised("text"), 256)).alias("digest")), "missing")
+    found = token_cache.misses(docs, missing)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate [digest", 1)
+    assert "LeftSemi" in below and "strategy=broadcast" in below
+    assert [r.text for r in found.collect()] == [LONG.strip()]
+
+
 def test_word_hashes_over_windows(monkeypatch):
     import pyarrow as pa
     texts = ["", "a b", "A  B\n", "x" * 50, " ", "b a b"]

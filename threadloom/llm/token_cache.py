@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm import fragments, textbuf
 from threadloom.llm.fragments import TokenizerFile
-from threadloom.llm.store import Scratch
+from threadloom.llm.store import Scratch, only_wanted
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 _ASCII_SPACE = " \t\n\u000b\f\r"
@@ -48,17 +48,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def fill_cache(docs: DataFrame, cache_path: str, tokenizer: TokenizerFile, text: str = "text") -> None:
+def misses(docs: DataFrame, missing: DataFrame | None, text: str = "text", bound: int | None = None) -> DataFrame:
+    """(digest, text) of each distinct content of ``docs``, or of those whose
+    digest is in ``missing`` alone.  Texts of other contents stay at the scan as
+    long as the missing digests may be broadcast (``only_wanted``); what is left meets
+    in an aggregate with map-side combine, so a content holding most rows is one
+    row per map task."""
+    content = docs.select(normalised(text).alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    if missing is not None:
+        keys = missing.select(F.xxhash64("digest").alias("key")).distinct()
+        content = only_wanted(content.withColumn("key", F.xxhash64("digest")), keys, "key", bound)
+    found = content.groupBy("digest").agg(F.first("text").alias("text"))
+    return found if missing is None else found.join(missing, "digest", "left_semi")
+
+
+def fill_cache(docs: DataFrame, cache_path: str, tokenizer: TokenizerFile, text: str = "text",
+               bound: int | None = None) -> None:
     """Encode the distinct contents of ``docs`` that the cache does not hold and
-    append their counts.  The copies of a content meet in an aggregate with
-    map-side combine, so a content holding most rows is one row per map task."""
+    append their counts.  Digests alone are looked up first; without misses no
+    text is read again and nothing is appended."""
     spark = docs.sparkSession
-    content = docs.select(normalised(text).alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    misses = content.groupBy("digest").agg(F.first("text").alias("text"))
+    missing = None
     if exists(spark, cache_path):
-        misses = misses.join(_read_cache(spark, cache_path, tokenizer.version), "digest", "left_anti")
+        digests = docs.select(F.unhex(F.sha2(normalised(text), 256)).alias("digest")).distinct()
+        known = _read_cache(spark, cache_path, tokenizer.version)
+        missing = Scratch(spark, "token-misses").keep(digests.join(known, "digest", "left_anti"), "missing")
+        if missing.isEmpty():
+            return
     shared = spark.sparkContext.broadcast(tokenizer.text)  # one file, fixed size
-    (misses.select("digest", "text").mapInArrow(_counter(shared), "digest binary, n_tokens long")
+    (misses(docs, missing, text, bound).select("digest", "text")
+     .mapInArrow(_counter(shared), "digest binary, n_tokens long")
      .select("digest", F.lit(tokenizer.version).alias("tokenizer"), "n_tokens")
      .write.mode("append").parquet(cache_path))
 
