@@ -2,14 +2,18 @@
 repeated rows, empty tables, clashing column names) against brute force."""
 
 import hashlib
+import math
 import os
 import random
 import re
+import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from threadloom.llm import (bpe, exact_dedup, html_text, licenses, mincut, near_dup, packing, quality, textbuf,
@@ -306,6 +310,72 @@ def test_quality(spark):
     assert all(r.kept == bool(r.text) for r in free)  # nothing to compare with: all with words
 
 
+def brute_quality(texts, labels):
+    """{doc_id: (n_ngrams, log_weight, key, kept)} by plain loops; the word hash alone is shared."""
+    size = quality.BUCKETS
+
+    def spark_hash(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    def word(w):
+        return int(textbuf.word_hashes(np.frombuffer(w, np.uint8), np.array([0, len(w)]), textbuf.WORDS_AND_SIGNS)[0][0])
+
+    def grams(text):
+        hashes = [word(w) for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+", text.encode())]
+        pairs = [size if a == b else size + 1 + int(textbuf.mix(
+            np.array([(a * int(quality._PAIR) + b) % (1 << 64)], np.uint64))[0]) % (size - 1) for a, b in zip(hashes, hashes[1:])]
+        return [h % size for h in hashes] + pairs
+
+    own = {i: grams(t) for i, t in texts}
+    fold = {i: spark_hash(i) % 5 for i in labels}
+    raw = Counter(g for x in own.values() for g in x)
+    good = Counter(g for i, x in own.items() if labels.get(i) and fold[i] for g in x)
+
+    def ratio(g):
+        part = range(size) if g < size else range(size, 2 * size)
+        return (math.log((good[g] + 1) / (sum(good[b] for b in part) + size))
+                - math.log((raw[g] + 1) / (sum(raw[b] for b in part) + size)))
+
+    known = {g: ratio(g) for g in raw}
+    total = {i: sum(known[g] for g in x) for i, x in own.items()}
+    held = sorted((total[i] / len(own[i]), labels[i]) for i in labels if not fold[i] and own[i])
+    edges = sorted({s for s, _ in held})
+    cuts = [(edges[0] - 1, 1)] + [((a + b) / 2, b - a) for a, b in zip(edges, edges[1:])] + [(edges[-1] + 1, 1)]
+    n_good = sum(g for _, g in held)
+
+    def loss(cut):
+        return (3 * sum(g and s < cut for s, g in held) / n_good
+                + sum(not g and s >= cut for s, g in held) / (len(held) - n_good))
+
+    least = min(loss(c) for c, _ in cuts)
+    cut = max(((gap, c) for c, gap in cuts if loss(c) <= least + 1e-12), key=lambda x: x[0])[1]
+    weight = {i: total[i] - cut * len(own[i]) for i in own}
+    key = {i: w - math.log(-math.log((spark_hash("gumbel", i) % ((1 << 52) - 1) + 1) / 2 ** 52)) for i, w in weight.items()}
+    k = sum(w > 0 for w in weight.values())
+    drawn = set(sorted((i for i in own if own[i]), key=lambda i: (-key[i], i))[:k])
+    return {i: (len(own[i]), weight[i], key[i], i in drawn) for i in own}
+
+
+def test_quality_equals_brute_force(spark):
+    """Texts of all mixtures, so that the noise decides some of them."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(f"Bad{rng.randint(0, 9)}!" if rng.random() < i % 11 / 10 else f"good{rng.randint(0, 9)}"
+                          for _ in range(rng.randint(1, 9)))) for i in range(500)]
+    labels = {i: i % 11 < 5 for i in range(0, 500, 2)}
+    table = spark.createDataFrame([(i, int(g)) for i, g in labels.items()], "doc_id long, quality int")
+    got = quality.draw(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), table).collect()
+    want = brute_quality(texts, labels)
+    assert len(got) == len(want)
+    for r in got:
+        n, weight, key, kept = want[r.doc_id]
+        assert (r.n_ngrams, r.kept) == (n, kept)
+        assert r.log_weight == pytest.approx(weight, abs=1e-8) and r.gumbel_key == pytest.approx(key, abs=1e-8)
+    assert 0 < sum(r.kept != (r.log_weight > 0) for r in got) < 250
+
+
 def test_kth(spark):
     keys = [(i, float(i // 7)) for i in range(500)]
     df = spark.createDataFrame(keys, "doc_id long, key double")

@@ -22,8 +22,6 @@ BUCKETS = 10_000
 #: Labelled rows used at most (those of smallest id hash): four fifths fit the target model, a fifth the cut.
 LABELLED_ROWS = 20_000
 SMOOTHING = 1.0
-#: Gumbel noise counts as so many nats of log weight.
-TEMPERATURE = 0.05
 #: Rows of one last histogram bin that are ranked together.
 RANKED_ROWS = 100_000
 #: Bytes of text whose n-grams are formed at once.
@@ -145,9 +143,10 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def gumbel_key(log_weight: Column, doc_id: str = "doc_id") -> Column:
-    """log weight plus Gumbel noise, the noise fixed by the document's id."""
+    """log weight plus standard Gumbel noise, fixed by the document's id: the
+    greatest keys are a draw without replacement by weight."""
     u = (F.pmod(F.xxhash64(F.lit("gumbel"), F.col(doc_id)), F.lit((1 << 52) - 1)) + 1) / F.lit(float(1 << 52))
-    return log_weight - F.lit(TEMPERATURE) * F.log(-F.log(u))
+    return log_weight - F.log(-F.log(u))
 
 
 @dataclass(frozen=True)
@@ -195,7 +194,7 @@ def draw(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     """``docs`` plus n_ngrams, log_weight, gumbel_key, kept.
 
     As many documents are drawn as have a positive log weight (more like the
-    good than the cut asks).  A null or empty text has no n-grams and is not
+    good than the cut asks); which ones, the noisy keys decide.  A null or empty text has no n-grams and is not
     drawn.  Without labelled good documents, or without bad ones held out,
     everything with n-grams is drawn.  Repeated rows each keep their row; a null
     doc_id takes part with one common noise; an empty table gives no rows;
