@@ -83,6 +83,39 @@ def test_unclosed_tags_are_scanned_once():
         assert "".join("".join(b.parts) for b in html_text.blocks_of(page, w)).strip() == want.strip(), page
 
 
+def test_cut_beats_the_sign_on_mixed_pages():
+    """Pages without telling tags: short lines between paragraphs are content, sentences between
+    links are not.  The cut, with the weights of production, against the sign of each block's score."""
+    import dataclasses
+    rng = random.Random(11)
+    alone = dataclasses.replace(html_text.Weights(), adjacent=0.0, siblings=0.0)
+    hit, said, true = Counter(), Counter(), 0
+
+    def words(n):
+        return " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+
+    for _ in range(200):
+        parts, want = [], set()
+        for kind in (False, True, False):
+            for i in range(rng.randint(3, 7)):
+                odd = 0 < i and rng.random() < 0.3
+                if kind:
+                    line = words(rng.randint(1, 3)) if odd else words(rng.randint(12, 40)) + "."
+                    parts.append(f"<div>{line}</div>" if odd else f"<p>{line}</p>")
+                    want.add(line)
+                else:
+                    line = words(rng.randint(7, 9)) + "." if odd else words(2)
+                    parts.append(f"<div>{line}</div>" if odd else f"<div><a href=x>{line}</a></div>")
+        true += len(want)
+        page = "<html><body>" + "".join(parts) + "</body></html>"
+        for name, w in (("cut", html_text.Weights()), ("sign", alone)):
+            got = set(html_text.main_text(page, w).split("\n")) - {""}
+            hit[name] += len(got & want)
+            said[name] += len(got)
+    f1 = {name: 2 * hit[name] / (said[name] + true) for name in said}
+    assert f1["cut"] > 0.9 and f1["cut"] > f1["sign"] + 0.2, f1
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(60):
@@ -283,6 +316,28 @@ def test_top_k(spark):
     assert topk.top_k(df.where("false")).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Products beyond 62 bits do not stop the run: exact up to 64 bits, then the limit."""
+    rng = random.Random(5)
+    sizes = [1.0, 1.0, 1.0, 1e3, 1e3, 3e6, 3e7, 1e9, 1e300]
+    vectors = [(i, [rng.uniform(-1, 1) * rng.choice(sizes) for _ in range(5)]) for i in range(90)]
+    vectors += [(100 + i, [1e12, -1e12, 1e12, -1e12, rng.uniform(-1, 1)]) for i in range(10)]  # what cancels
+    vectors += [(120 + i, [1e12, 1e12, 1e12, 1e12, rng.uniform(-1, 1)]) for i in range(10)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    end = 1 << 63
+    whole = [(i, [max(-end, min(end - 1, math.floor(64 * x))) if abs(x) < 1e290 else (end - 1 if x > 0 else -end) for x in v])
+             for i, v in vectors]
+    want, limits, middle = [], 0, 0
+    for qi, q in whole:
+        if qi % 20 == 0:
+            scores = {i: max(-topk.LIMIT, min(topk.LIMIT, sum(x * y for x, y in zip(q, v)))) for i, v in whole if i != qi}
+            want += [(qi, n + 1, i, -s) for n, (s, i) in enumerate(sorted((-s, i) for i, s in scores.items())[:60])]
+            limits += sum(abs(s) == topk.LIMIT for s in scores.values())
+            middle += sum(abs(s) < 1 << 62 for s in scores.values())
+    assert limits > 100 and middle > 50
+    assert rows(topk.top_k(df, k=60)) == sorted(want, key=repr)
+
+
 # 7 ------------------------------------------------------------------------
 def quality_tables(spark):
     rng = random.Random(9)
