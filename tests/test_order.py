@@ -109,3 +109,28 @@ def test_pack_whole(spark):
         next_fit, free = (next_fit, free - n) if n <= free else (next_fit + 1, 64 - n)
     assert len(by_row) == 1 + max(r for r, _ in first_fit(sorted(whole, reverse=True), 64)) < next_fit
     assert batching.pack_whole(df.where("false"), max_tokens=64).count() == 0
+
+
+@pytest.mark.parametrize("last_k", [1, 3, 6])
+def test_last_messages_of_a_long_segment_are_cut_into_runs(spark, monkeypatch, last_k):
+    """One session with nearly all messages, turns with holes, runs shorter than the context."""
+    monkeypatch.setattr(transcripts, "TURN_BUCKET", 5)
+    rng = random.Random(last_k)
+    rows = [("long", t, 0, rng.choice(["user", "assistant"]), f" m{t} ") for t in range(0, 400, 3)]
+    rows += [(s, t, g, rng.choice(["user", "assistant"]), None if t == 2 else f"{s}{t}") for s in ("a", None) for g in (0, 1)
+             for t in range(4 * g, 4 * g + 4)]
+    df = spark.createDataFrame(rows, "session_id string, turn int, segment int, role string, text string").repartition(4)
+    got = transcripts.context_messages(df, last_k, system_prompt="be kind")
+    assert got.columns == [*df.columns, "context"]
+    want = []
+    for s, t, g, role, text in rows:
+        if role == "user":
+            own = sorted((r for r in rows if r[0] == s and r[2] == g and r[1] <= t), key=lambda r: r[1])[-last_k:]
+            want.append((s, t, [("system", "be kind")] + [(r[3], r[4] and r[4].strip()) for r in own]))
+    found = [(r.session_id, r.turn, [tuple(m) for m in r.context]) for r in got.collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    windows = [line for line in _plan(got).splitlines() if "Window" in line and "collect_list" in line]
+    assert windows and all("_run" in line for line in windows)
+    assert transcripts.context_messages(df.where("false"), last_k).isEmpty()
+    with pytest.raises(ValueError):
+        transcripts.context_messages(df, 0)

@@ -80,10 +80,22 @@ def context_messages(df: DataFrame, last_k: int, system_prompt: str = "", sessio
                      turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """R3 itself, bounded: for every user turn the ``context`` array the model
     gets - the system message and the last ``last_k`` messages of the segment,
-    the turn included, stripped."""
+    the turn included, stripped.
+
+    A segment is cut into runs of messages, and the last ``last_k - 1`` of a run also
+    lead the next one, so a long segment is spread over its runs."""
+    if last_k < 1:
+        raise ValueError("last_k must be at least 1")
     own = F.struct(F.col(role).alias("role"), strip_ws(F.col(text)).alias("content"))
-    w = Window.partitionBy(session, "segment").orderBy(turn).rowsBetween(-(last_k - 1), Window.currentRow)
-    x = df.withColumn("context", F.collect_list(own).over(w)).filter(F.col(role) == F.lit("user"))
+    size = max(TURN_BUCKET, last_k)
+    x = prefix_scan(df.withColumn("_one", F.lit(1)), [session, "segment"], [turn], F.floor(F.col(turn) / TURN_BUCKET),
+                    {"_no": ("sum", "_one")})
+    run = F.floor((F.col("_no") - 1) / size)
+    leads = F.pmod(F.col("_no") - 1, F.lit(size)) > size - last_k
+    x = x.withColumn("_run", F.explode(F.when(leads, F.array(run, run + 1)).otherwise(F.array(run))))
+    w = Window.partitionBy(session, "segment", "_run").orderBy("_no").rowsBetween(-(last_k - 1), Window.currentRow)
+    x = (x.withColumn("context", F.collect_list(own).over(w))
+          .filter((F.col(role) == F.lit("user")) & (F.col("_run") == run)).drop("_one", "_no", "_run"))
     system = F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content"))
     return x.withColumn("context", F.concat(F.array(system), F.col("context")))
 
