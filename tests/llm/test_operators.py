@@ -487,13 +487,38 @@ def test_url_rules(spark):
     urls = [f"http://{rng.choice(['', 'x.'])}{rng.choice(hosts)}/{''.join(rng.choice('ab/') for _ in range(5))}" for _ in range(200)]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
     got = {r.page_id: (len(r.rule or ""), r.verdict if r.rule else "allow") for r in
-           url_rules.judge_urls(df, url_rules.rule_table(spark, rules), deals=5).collect()}
+           url_rules.judge_urls(df, url_rules.rule_table(spark, rules), sweeps=5).collect()}
     assert got == {i: (len(w[2] or ""), w[3]) for i, w in ((i, brute_rule(u, rules)) for i, u in enumerate(urls))}
     empty = url_rules.rule_table(spark).where("false")
     assert {r.verdict for r in url_rules.judge_urls(df, empty).collect()} == {"allow"}
     assert url_rules.judge_urls(df.where("false"), url_rules.rule_table(spark)).count() == 0
 
 
+def test_many_url_rules_are_in_one_sweep_each(spark, tmp_path):
+    """200,000 rules, a third of the urls on one host, one url many times."""
+    hosts = "concat('h', id % 9973, CASE WHEN id % 4 = 0 THEN '.net' WHEN id % 4 = 1 THEN '.a.net' ELSE '.com' END)"
+    rules = spark.range(200_000).selectExpr(f"{hosts} AS host", "concat('/', id % 7, '/', substr(md5(string(id)), 1, id % 3)) AS path",
+                                            "CASE WHEN id % 5 < 2 THEN 'block' ELSE 'allow' END AS verdict")
+    host = "CASE WHEN id % 3 = 0 THEN 'h8.net' ELSE concat('x.h', id * 31 % 9973, CASE WHEN id % 2 = 0 THEN '.a.net' ELSE '.com' END) END"
+    path = "CASE WHEN id % 9 = 0 THEN '/1/' ELSE concat('/', id % 7, '/', md5(string(id))) END"
+    urls = spark.range(3000).selectExpr("id AS page_id", f"concat('http://', {host}, {path}) AS url")
+    scratch = Scratch(spark, "many-rules")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge_urls(urls, rules, sweeps=12, scratch=scratch).collect()}
+    laid = spark.read.parquet(scratch.path("laid"))
+    assert laid.where("rid IS NULL").groupBy("key").count().where("count > 1").isEmpty()
+    sizes = [r["count"] for r in laid.groupBy("sweep").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 3 * sum(sizes) / 12
+    known: dict[tuple[str, str], str] = {}
+    for r in rules.collect():
+        known[r.host, r.path] = max(r.verdict, known.get((r.host, r.path), ""))
+    for r in urls.collect():
+        name, path = re.fullmatch(r"http://([^/]*)(.*)", r.url).groups()
+        ways = [(len(name[i:] + path[:j]), name[i:] + path[:j], known[name[i:], path[:j]])
+                for i in [0] + [m.end() for m in re.finditer(r"\.", name)] for j in range(len(path) + 1) if (name[i:], path[:j]) in known]
+        _, rule, verdict = max(ways, default=(0, None, "allow"))
+        assert got[r.page_id] == (rule, verdict), r.url
+
+
 # 10 -----------------------------------------------------------------------
 def test_token_counts(spark, docs, none):
     cache = Scratch(spark, "test").path("cache")
