@@ -458,6 +458,50 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.where("false")).count() == 0
 
 
+def brute_licenses(text):
+    """Sentence by sentence, rule by rule, in plain Python."""
+    known = {licenses.normal_sentence(w): name for name, ways in licenses.SENTENCES.items() for w in ways}
+    text = re.sub(r"(?m)^[ \t]*(?:(?:#+|//+|\*+)[ \t]*)?\(?[0-9]{1,2}[.)][ \t]+", "", text or "")
+    pieces = re.split(r"(?<=[.!?:])\s+|\n+", re.sub(r"\n[ \t]*(?:#+|//+|\*+)?[ \t]*(?=[a-z])", " ", text))
+    ids = [known.get(licenses.normal_sentence(s)) for s in pieces]
+    out, i, missed = [], 0, False
+    while i < len(ids):
+        fit = next(((name, len(want)) for name, want in licenses.RULES if ids[i:i + len(want)] == want), None)
+        missed = missed or (fit is None and ids[i] is not None)
+        if fit:
+            out.append((fit[0], i, fit[1]))
+        i += fit[1] if fit else 1
+    return out, missed
+
+
+def test_licenses_equal_brute_force(spark):
+    rng = random.Random(8)
+    known = [w for ways in licenses.SENTENCES.values() for w in ways]
+    assert all(len(re.split(r"(?<=[.!?:])\s+|\n+", w)) == 1 for w in known)  # each is one sentence
+    assert len({licenses.normal_sentence(w) for w in known}) == len(known)
+    texts = []
+    for i in range(400):
+        parts = []
+        for _ in range(rng.randint(0, 6)):
+            kind = rng.random()
+            if kind < 0.4:
+                name, ids = rng.choice(licenses.RULES)
+                whole = [rng.choice(licenses.SENTENCES[k]) for k in ids]
+                parts += [f"{n}. {s}" for n, s in enumerate(whole, 1)] if kind < 0.1 else whole
+            else:
+                parts.append(rng.choice(known) if kind < 0.7 else rng.choice(["Some words here.", "License: see below", "1.", "v. 2.0."]))
+        lead = rng.choice(["", "# ", "// ", " * "])
+        text = rng.choice(["\n", "\n\n"]).join(lead + (p if rng.random() < 0.7 else p.upper()) for p in parts)
+        if rng.random() < 0.3:  # wrapped before words in lower case
+            text = re.sub(r" (?=[a-z])", lambda m: "\n" + lead if rng.random() < 0.2 else " ", text)
+        texts.append((i, text))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: ([tuple(m) for m in r.matches], r.has_unmatched) for r in licenses.scan_licenses(df).collect()}
+    want = {i: brute_licenses(t) for i, t in texts}
+    assert got == want
+    assert {name for name, _ in licenses.RULES} == {m[0] for found, _ in want.values() for m in found}
+
+
 # 9 ------------------------------------------------------------------------
 def brute_rule(url, rules):
     host = path = ""

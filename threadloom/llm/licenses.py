@@ -33,16 +33,68 @@ SENTENCES: dict[str, list[str]] = {
     "mit-as-is": ['THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
                   "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
                   "NONINFRINGEMENT."],
+    "bsd2-notice": ["Licensed under the BSD 2-Clause License.", "Released under the BSD 2-Clause License.", "BSD 2-Clause License"],
+    "bsd3-notice": ["Licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License.", "BSD 3-Clause License"],
     "bsd-notice": ["Released under the BSD License.", "Licensed under the BSD License."],
     "bsd-redistribute": ["Redistribution and use in source and binary forms, with or without modification, are "
                          "permitted provided that the following conditions are met:"],
+    "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                   "following disclaimer."],
+    "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+                   "the following disclaimer in the documentation and/or other materials provided with the distribution."],
+    "bsd-endorse": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                    "promote products derived from this software without specific prior written permission."],
+    "isc-notice": ["ISC License", "The ISC License", "Licensed under the ISC License."],
+    "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                  "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+                  "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is "
+                  "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "0bsd-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                   "hereby granted."],
+    "isc-as-is": ['THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+                  "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."],
+    "zlib-as-is": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib-damages": ["In no event will the authors be held liable for any damages arising from the use of this software."],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+                   "and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "boost-notice": ["Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0"],
+    "unlicense-free": ["This is free and unencumbered software released into the public domain."],
+    "unlicense-anyone": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+                         "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+                         "any means."],
+    "mpl2-form": ["This Source Code Form is subject to the terms of the Mozilla Public License, v."],
+    "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+                  "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "mpl2-notice": ["Licensed under the Mozilla Public License 2.0.", "Licensed under the Mozilla Public License, version 2.0.",
+                    "Mozilla Public License Version 2.0"],
+    "epl2-available": ["This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                       "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "epl2-notice": ["Licensed under the Eclipse Public License 2.0.", "Eclipse Public License - v 2.0"],
+    "lgpl3-notice": ["This work is licensed under the GNU Lesser General Public License, version 3.",
+                     "Licensed under the GNU Lesser General Public License, version 3."],
+    "lgpl3-free": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                   "published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+                   "later version."],
+    "lgpl21-free": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                    "License, or (at your option) any later version."],
+    "lgpl-hope": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+                  "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "agpl3-notice": ["This work is licensed under the GNU Affero General Public License, version 3.",
+                     "Licensed under the GNU Affero General Public License, version 3."],
+    "agpl3-free": ["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                   "published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+                   "later version."],
+    "gpl2-free": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                  "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                  "or (at your option) any later version."],
     "gpl3-notice": ["This work is licensed under the GNU General Public License, version 3.",
                     "Licensed under the GNU General Public License, version 3."],
     "gpl2-notice": ["This work is licensed under the GNU General Public License, version 2.",
                     "Licensed under the GNU General Public License, version 2."],
-    "gpl-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                 "General Public License as published by the Free Software Foundation, either version 3 of the "
-                 "License, or (at your option) any later version."],
+    # (a sentence ends at the colon of "This program is free software:")
+    "gpl-free": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                 "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
                  "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."],
@@ -63,9 +115,37 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit-grant", "mit-include", "mit-as-is"]),
     ("MIT", ["mit-grant"]),
     ("MIT", ["mit-notice"]),
+    ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]),
+    ("BSD-3-Clause", ["bsd3-notice"]),
+    ("BSD-2-Clause", ["bsd2-notice"]),
     ("BSD", ["bsd-notice", "bsd-redistribute"]),
     ("BSD", ["bsd-redistribute"]),
     ("BSD", ["bsd-notice"]),
+    ("ISC", ["isc-notice", "isc-grant", "isc-as-is"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
+    ("ISC", ["isc-grant"]),
+    ("ISC", ["isc-notice"]),
+    ("0BSD", ["0bsd-grant", "isc-as-is"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("Zlib", ["zlib-as-is", "zlib-damages", "zlib-grant"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("Unlicense", ["unlicense-free", "unlicense-anyone"]),
+    ("Unlicense", ["unlicense-free"]),
+    ("MPL-2.0", ["mpl2-form"]),
+    ("MPL-2.0", ["mpl2-copy"]),
+    ("MPL-2.0", ["mpl2-notice"]),
+    ("EPL-2.0", ["epl2-available"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl-hope"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("LGPL-3.0", ["lgpl3-notice"]),
+    ("AGPL-3.0-or-later", ["agpl3-free"]),
+    ("AGPL-3.0", ["agpl3-notice"]),
+    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope"]),
+    ("GPL-2.0-or-later", ["gpl2-free"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
     ("GPL-3.0-or-later", ["gpl-free"]),
     ("GPL-3.0", ["gpl3-notice"]),
@@ -77,6 +157,8 @@ RULES: list[tuple[str, list[str]]] = [
 ]
 # A line break before a lower-case letter, comment signs aside, is inside a sentence.
 _WRAP = r"\n[ \t]*(?:#+|//+|\*+)?[ \t]*(?=[a-z])"
+#: The number of a clause, at the start of its line.
+_NUMBER = r"(?m)^[ \t]*(?:(?:#+|//+|\*+)[ \t]*)?\(?[0-9]{1,2}[.)][ \t]+"
 _BREAK = r"(?<=[.!?:])\s+|\n+"
 _OTHER = r"[^a-z0-9]+"
 
@@ -120,11 +202,13 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
     of sentences), has_unmatched (known sentences that no rule took).
 
     Sentences end at a line break, or at white space after ``.``, ``!``, ``?``
-    or ``:``; a line going on in lower case belongs to the one before.  They are
+    or ``:``; a line going on in lower case belongs to the one before, and a clause
+    number at the start of a line to no sentence.  They are
     compared lower-cased with everything but a-z and 0-9 as one space.  At each
     sentence the first rule whose identifiers follow there in order matches;
-    matches do not overlap.  Null and empty texts have no sentences; repeated
-    rows each keep their row; an empty table gives no rows.
+    matches do not overlap.  Null and empty texts have no sentences; texts of any
+    length are read whole; repeated rows each keep their row; an empty table gives
+    no rows; other columns of ``docs`` take no part, whatever their names.
     """
     wordings, sign = _identifiers(sentences)
     patterns: dict[str, str] = {}
@@ -136,7 +220,7 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
         candidate = candidate | lower.contains(word)
     known = _literal_map(wordings)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.when(candidate, F.col(text)).alias("text"))
-    pieces = F.split(F.regexp_replace("text", _WRAP, " "), _BREAK)
+    pieces = F.split(F.regexp_replace(F.regexp_replace("text", _NUMBER, ""), _WRAP, " "), _BREAK)
     signs = F.transform(pieces, lambda s: F.coalesce(F.element_at(known, F.trim(
         F.regexp_replace(F.lower(s), _OTHER, " "))), F.lit(" ")))
     rows = rows.select("doc_id", F.coalesce(F.array_join(signs, ""), F.lit("")).alias("signs"))
