@@ -53,6 +53,21 @@ def library_ids(file):
     return t, [t.encode(x or "", add_special_tokens=False).ids for _, x in TEXTS]
 
 
+def test_scratch_is_released(spark, docs, tmp_path):
+    where = []
+    for i, run in enumerate([near_dup.near_duplicates, exact_dedup.exact_dedup]):
+        with Scratch(spark, "released") as scratch:
+            run(docs, scratch=scratch).write.parquet(f"{tmp_path}/{i}")
+            assert os.listdir(scratch.root)
+        where.append(scratch.root)
+        assert spark.read.parquet(f"{tmp_path}/{i}").count() == len(TEXTS)
+    with pytest.raises(ZeroDivisionError), Scratch(spark, "failed") as scratch:
+        scratch.keep(docs, "rows")
+        where.append(scratch.root)
+        raise ZeroDivisionError
+    assert not any(map(os.path.exists, where))
+
+
 # 1 ------------------------------------------------------------------------
 def test_html(spark):
     pages = [

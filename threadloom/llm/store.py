@@ -27,7 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """One run's folder of scratch tables."""
+    """One run's folder of scratch tables.  Results of operators read it lazily; as
+    a context manager, around the operator and the write of its result, it is
+    removed at the end: ``with Scratch(spark, "near") as s: near_duplicates(docs,
+    scratch=s).write.parquet(path)``."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -40,10 +43,23 @@ class Scratch:
         df.write.option("compression", codec).parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def drop(self, table: str) -> None:
         """Remove a table nothing lazy reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(self.path(table))
+
+    def release(self) -> None:
+        """Remove the run's folder, once its result is written."""
+        self._delete(self.root)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.release()
 
 
 def only_wanted(rows: DataFrame, wanted: DataFrame, key: str, bound: int | None = None) -> DataFrame:
