@@ -6,7 +6,7 @@ import pytest
 
 from tests.oracle import compare
 
-from .test_operators import WORDS, brute_near, quality_tables
+from .test_operators import WORDS, brute_licenses, brute_near, brute_quality, quality_tables
 
 
 def test_pipeline(spark, tmp_path):
@@ -79,6 +79,40 @@ def test_near_dup_query(spark):
     assert sorted(map(tuple, QUERIES["op2_near_dup"](spark, "/root/testdata/sf0.001").collect()), key=repr) == brute_near(docs)
 
 
+def test_licenses_query(spark):
+    from threadloom.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: ([tuple(m) for m in r.matches], r.has_unmatched) for r in QUERIES["op8_licenses"](spark, sf).collect()}
+    assert got == {i: brute_licenses(t) for i, t in texts.items()}
+    assert any(found for found, _ in got.values())
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_on_very_long_texts(spark, tmp_path, stage):
+    """A text of 1 MB, one without any space, nulls, and columns named like those the stages add."""
+    import corpus_pipeline
+    texts, labels = quality_tables(spark)
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    long = " ".join(f"tion{i * 7 % 60}" for i in range(150_000))
+    rows = [(i, t, "x", True, 1) for i, t in texts] + [(2000, long, None, None, None), (2001, "z" * 500_000, "x", False, 2), (None, None, "x", True, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, component_id boolean, length int").repartition(3)
+    out = corpus_pipeline.STAGES[stage][1](spark, df, str(tmp_path))
+    if stage == 0:  # most of the raw n-grams are the long text's own
+        known = {i: i % 5 > 0 for i in range(0, 400, 2)}
+        want = brute_quality([(r[0], r[1]) for r in rows if r[1]], known)
+        kept = {r.doc_id: r.text for r in out.collect()}
+        assert out.columns == df.columns and kept == {r[0]: r[1] for r in rows if r[1] and want[r[0]][3]}
+    elif stage < 3:
+        assert out.columns == df.columns and out.where("doc_id = 2000").select("text").collect()[0].text == long
+    else:
+        from tokenizers import Tokenizer
+        n = len(Tokenizer.from_str(WORDS.text).encode(long, add_special_tokens=False).ids) + 1
+        pieces = [r for r in out.where("doc_id = 2000").collect()]
+        assert sum(r["length"] for r in pieces) == n and {r.doc_tokens for r in pieces} == {n}
+        assert sum(r["length"] for r in out.where("doc_id IS NULL").collect()) == 1
+
+
 def test_quality_query_on_held_out_labels(spark):
     from threadloom.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
