@@ -4,10 +4,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from threadloom.llm import parity_join
+from threadloom.llm.components import components, extended
 from threadloom.llm.parity_join import Settings
+from threadloom.llm.store import Scratch
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -126,3 +129,51 @@ def test_linked_sets_share_a_key():
         if 100 * (n - cut) >= how.percent * (n + more) and cut + more:
             keys, off = parity_join.join_keys([np.sort(x), np.sort(y)], how)
             assert set(keys[:off[1]]) & set(keys[off[1]:])
+
+
+def test_tiles_over_batches_and_distances():
+    """Tiles cut anywhere by batches of rows, with sketches of several widths, against one pair at a time."""
+    how, rng = Settings(), np.random.default_rng(7)
+    base = rng.integers(0, 2**63, 900).astype(np.uint64)
+    got = []
+    for key in range(40):
+        for member in rng.choice(400, rng.integers(2, 40), replace=False).tolist():
+            n = 1 + member * 2
+            stray = member % 3 == 0
+            if stray:
+                got.append((key, key % 2, 0, member, member % 7, True, parity_join.sketch([base[:n]])[0], n, True))
+            got.append((key, key % 2, 0, member, member % 7, stray, parity_join.sketch([base[:n]])[0], n, False))
+    names = ("key", "i", "j", "member", "comp", "stray", "sketch", "n", "left")
+    table = pa.table({c: list(x) for c, x in zip(names, zip(*got))})
+    want = set()
+    for tile in range(40):
+        rows = [r for r in got if r[0] == tile]
+        for x in (r for r in rows if r[8]):
+            for y in (r for r in rows if not r[8]):
+                both = parity_join.folded([x[6], y[6]], min(len(x[6]), len(y[6])))
+                apart = max(np.bitwise_count(both[0] ^ both[1]).sum(), abs(x[7] - y[7]))
+                if x[4] != y[4] and (not y[5] or x[3] < y[3]) and apart <= how.differ(x[7] + y[7]):
+                    want.add((min(x[3], y[3]), max(x[3], y[3])))
+    assert len(want) > 50
+    for size in (1, 7, 64, 10_000):
+        pairs = [p for b in parity_join._meet(how)(iter(table.to_batches(size))) for p in zip(*(c.to_pylist() for c in b.columns))]
+        assert set(pairs) == want
+    assert not list(parity_join._meet(how)(iter([])))
+
+
+@pytest.mark.parametrize("n", [0, 1, 60])
+def test_links_found_later_extend_components(spark, n, monkeypatch):
+    """Components of all links are those of the first, extended by the later ones; stars need no round."""
+    written = []
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, table, codec="zstd": written.append(table) or keep(self, df, table, codec))
+    rng = random.Random(n)
+    first = [(rng.randrange(200), rng.randrange(200)) for _ in range(80)]
+    more = [(rng.randrange(200), rng.randrange(200)) for _ in range(n)]
+    a, b = (spark.createDataFrame(x, "a long, b long") for x in (first, more))
+    scratch = Scratch(spark, "extended-test")
+    merged = components(a, scratch, "merged")
+    got = rows(extended(merged, b, scratch, "final"))
+    assert got == rows(components(a.union(b), scratch, "whole"))
+    assert rows(components(merged.toDF("a", "b"), scratch, "again")) == rows(merged)
+    assert [w for w in written if w.startswith("again")] == ["again0"]

@@ -28,12 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import textbuf
-from threadloom.llm.components import components
+from threadloom.llm.components import components, extended
 from threadloom.llm.near_dup import shingles
 from threadloom.llm.store import Scratch
 
 _U64 = np.uint64
 _THIN = _U64(0x7A1D5C3B9E2F4601)
+#: Words of sketches compared at once; pairs formed at once (those of one member at least).
+_STEP_WORDS = 1 << 18
+_STEP_PAIRS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -82,12 +85,35 @@ def sketch(sets: list[np.ndarray]) -> list[bytes]:
 
 def folded(sketches: list[bytes], width: int) -> np.ndarray:
     """Sketches, shortened to ``width`` bytes, as rows of uint64."""
-    out = np.empty((len(sketches), width // 8), np.uint64)
-    for k, s in enumerate(sketches):
-        x = np.frombuffer(s, np.uint64)
-        while len(x) > width // 8:
-            x = x[:len(x) // 2] ^ x[len(x) // 2:]
-        out[k] = x
+    flat, off = packed(pa.array(sketches, pa.large_binary()))
+    rows = [shortened(flat, off[k:k + 1], int(off[k + 1] - off[k]), width // 8) for k in range(len(sketches))]
+    return np.concatenate([np.zeros((0, width // 8), np.uint64), *rows])
+
+
+def packed(sketches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches' words behind one another, and their n+1 offsets."""
+    raw, off = textbuf.buffers(sketches.cast(pa.large_binary()))
+    return raw.view(np.uint64), off // 8
+
+
+def shortened(flat: np.ndarray, start: np.ndarray, width: int, to: int) -> np.ndarray:
+    """Sketches of ``width`` words, shortened to ``to`` words, as rows."""
+    x = flat[start[:, None] + np.arange(width)]
+    while x.shape[1] > to:
+        x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+    return x
+
+
+def apart(x: tuple[np.ndarray, np.ndarray], i: np.ndarray, y: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> np.ndarray:
+    """Hamming distances of the packed sketches ``x[i]`` and ``y[j]``, the longer shortened to the other."""
+    widths = np.diff(x[1])[i] << 16 | np.diff(y[1])[j]
+    out = np.zeros(len(i), np.int64)
+    for kind in np.unique(widths).tolist():
+        at, p, q = np.flatnonzero(widths == kind), kind >> 16, kind & 0xFFFF
+        step = max(1, _STEP_WORDS // max(p, q))
+        for k in range(0, len(at), step):
+            s = at[k:k + step]
+            out[s] = np.bitwise_count(shortened(x[0], x[1][i[s]], p, min(p, q)) ^ shortened(y[0], y[1][j[s]], q, min(p, q))).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -177,13 +203,8 @@ def _near(how: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y, m, n = batch.columns
-            kept = []
-            most = how.differ(m.to_numpy() + n.to_numpy())
-            for k, (p, q) in enumerate(zip(x.to_pylist(), y.to_pylist())):
-                both = folded([p, q], min(len(p), len(q)))
-                if int(np.bitwise_count(both[0] ^ both[1]).sum()) <= most[k]:
-                    kept.append(k)
-            kept = pa.array(kept, pa.int64())
+            each = np.arange(len(a))
+            kept = pa.array(np.flatnonzero(apart(packed(x), each, packed(y), each) <= how.differ(m.to_numpy() + n.to_numpy())))
             yield pa.RecordBatch.from_arrays([a.take(kept), b.take(kept)], ["a", "b"])
     return run
 
@@ -205,26 +226,47 @@ def _verify(how: Settings):
     return run
 
 
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Runs of whole tiles of rows sorted by tile (key, i, j), with their n+1 offsets."""
+    held, none = None, True
+    for batch in batches:
+        held = batch if none else pa.concat_batches([held, batch])
+        none = False
+        new = np.zeros(max(0, len(held) - 1), bool)
+        for c in ("key", "i", "j"):
+            x = held.column(held.schema.get_field_index(c)).to_numpy()
+            new |= x[1:] != x[:-1]
+        at = np.flatnonzero(new) + 1
+        if len(at):  # the last tile may go on in the next batch
+            yield held.slice(0, int(at[-1])), np.append(0, at)
+            held = held.slice(int(at[-1]))
+    if not none and len(held):
+        yield held, np.array([0, len(held)])
+
+
 def _meet(how: Settings):
-    """A tile of strays and a tile of any members of one bucket -> pairs of
+    """Tiles, each of strays (``left``) and of any members of one bucket -> pairs of
     different components whose sketches allow a link, of two strays once."""
-    def run(key: tuple[pa.Scalar, ...], got: pa.Table) -> pa.Table:
-        got = got.combine_chunks()
-        member, comp, size = (got.column(c).to_numpy() for c in ("member", "comp", "n"))
-        left = got.column("left").to_numpy().astype(bool)
-        stray = got.column("stray").to_numpy().astype(bool)
-        raw = got.column("sketch").to_pylist()
-        rows = folded(raw, min(map(len, raw)))
-        others = np.flatnonzero(~left)
-        a, b = [], []
-        for i in np.flatnonzero(left).tolist():
-            j = others[(comp[others] != comp[i]) & (~stray[others] | (member[i] < member[others]))]
-            apart = np.bitwise_count(rows[j] ^ rows[i]).sum(axis=1, dtype=np.int64)
-            j = j[apart <= how.differ(size[j] + size[i])]
-            a.append(np.minimum(member[j], member[i]))
-            b.append(np.maximum(member[j], member[i]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _tiles(batches):
+            member, comp, size, left, stray = (rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
+                                               for c in ("member", "comp", "n", "left", "stray"))
+            words = packed(rows.column(rows.schema.get_field_index("sketch")))
+            lefts, others = np.flatnonzero(left), np.flatnonzero(~left)
+            tile = np.searchsorted(bounds, lefts, "right") - 1
+            first, last = (np.searchsorted(others, bounds[tile + end]) for end in (0, 1))
+            ends, at = np.cumsum(last - first), 0
+            while at < len(lefts):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _STEP_PAIRS, "right")))
+                held = last[at:to] - first[at:to]
+                i = np.repeat(lefts[at:to], held)
+                j = others[np.arange(len(i)) + np.repeat(first[at:to] - (np.cumsum(held) - held), held)]
+                most = how.differ(size[i] + size[j])
+                fits = np.flatnonzero((comp[i] != comp[j]) & (~stray[j] | (member[i] < member[j])) & (np.abs(size[i] - size[j]) <= most))
+                i, j, at = i[fits], j[fits], to
+                near = apart(words, i, words, j) <= most[fits]
+                a, b = member[i[near]], member[j[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     return run
 
 
@@ -301,9 +343,10 @@ def jaccard_components(docs: DataFrame, how: Settings = Settings(), doc_id: str
     body = ("key", "member", "comp", "stray", "sketch", "n")
     tiled = (open_.where("stray").select(*body, F.lit(True).alias("left"), mine(c("strays")).alias("i"), each(c("members")).alias("j"))
              .union(open_.select(*body, F.lit(False).alias("left"), each(c("strays")).alias("i"), mine(c("members")).alias("j"))))
-    more = tiled.groupBy("key", "i", "j").applyInArrow(_meet(how), "a long, b long").distinct()
+    tiled = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    more = tiled.mapInArrow(_meet(how), "a long, b long").distinct()
     more = scratch.keep(more.join(near, ["a", "b"], "left_anti"), "more")
-    final = components(links.union(links_among(more, "late")), scratch, "final")
+    final = extended(merged, links_among(more, "late"), scratch, "final")
 
     root = members.select("digest", "doc_id", "member").join(
         final.select(c("u").alias("member"), c("v")), "member", "left").select("digest", "doc_id", F.coalesce("v", "member").alias("root"))
