@@ -12,11 +12,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from threadloom.llm import (bpe, exact_dedup, html_text, licenses, mincut, near_dup, packing, quality, textbuf,
+from threadloom.llm import (bpe, exact_dedup, fragments, html_text, licenses, mincut, near_dup, packing, quality, textbuf,
                             token_cache, topk, url_rules)
 from threadloom.llm.fragments import TokenizerFile
 from threadloom.llm.store import Scratch
@@ -623,3 +624,18 @@ def test_word_hashes_over_windows(monkeypatch):
     two, _ = textbuf.word_hashes(data, off)
     assert one.tolist() == two.tolist() and np.diff(at).tolist() == [0, 2, 2, 1, 0, 3]
     assert one[:2].tolist() == one[2:4].tolist() and len(set(one.tolist())) == 3
+
+
+def test_words_with_signs_and_accents_are_encoded_together(monkeypatch):
+    """Plain words of either case with signs behind are no texts of their own, and ids are the library's."""
+    enc, alone = fragments.WordEncoder(WORDS.text), []
+    old = fragments.Encoder.encode_new
+    monkeypatch.setattr(fragments.Encoder, "encode_new", lambda self, new: alone.extend(new) or old(self, new))
+    words = [f"{a}{b}{c}" for a in ("étre", "Ölfeld", "ÀÉÞ", "TIANTH", "ston") for b in ("quiz", "éz", "Ba") for c in ("", ".", ",", "!!", "$$$", "'", "|>", "_-~")]
+    odd = ["don't", "a1.", "x<|endoftext|>.", "İz.", "Ÿ", "e\u0301.", "÷a", ".b", "'s'", "a..b", "", "’."]
+    texts = [" ".join(words), *odd, " ".join(odd + words), "\t" + "\n".join(words[::-1]) + " "]
+    for _ in range(2):  # the second time from the memo
+        ids, off = fragments.word_ids(enc, pa.array(texts, pa.large_string()))
+        assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [
+            e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(alone) < 30
