@@ -56,3 +56,10 @@ def test_join_paths_with_and_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert small == big
+
+
+def test_latest_file_decodes_its_files_once(spark):
+    """The four passes over the decoded files read a written table; none parses the texts again."""
+    from __spark_entry__ import queries
+    plan = queries()["latest_file"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "from_json" not in plan and "collect_list" not in plan

@@ -11,6 +11,7 @@ from threadloom.operators import authors, filters, transcripts
 from threadloom.plans.catalogue import MSG_VIEW, register
 from threadloom.plans.catalogue_more import (CHAT_PROMPT, MSG_COLS, MSG_COLS_SQL, VALID_SQL, _SEG_SQL, _transcript,
                                              _valid, sql_strip)
+from threadloom.session import cut_lineage
 from threadloom.sources import export, tables
 
 __all__: list[str] = []
@@ -72,7 +73,8 @@ def q_latest_file(spark: SparkSession, sf: str) -> DataFrame:
     """The even events of a day come again in a deeper file, broken on some days."""
     m = tables.event_messages(spark, sf)
     raw = _day_files(m, "/", None).unionByName(_day_files(m.where("event_id % 2 = 0"), "/sub/", _broken()))
-    files, messages, _ = export.decode_files(raw)
+    # decoded once: four passes read it (messages, both sides of the losing files, the files' names)
+    files, messages, _ = export.decoded_tables(cut_lineage(export.decode(raw)))
     kept = messages.join(export.losing_files(files), "path", "left_anti")
     counts = kept.groupBy("path", "channel", "date").agg(F.count(F.lit(1)).alias("n_messages"))
     return counts.join(files.select("path", "rel_path"), "path").select("channel", "date", "rel_path", "n_messages")
