@@ -125,3 +125,27 @@ def test_relative_root_and_bad_directory(spark, tmp_path):
     src.write_bronze(exp.messages, str(tmp_path / "bronze"))
     b = src.read_bronze(spark, str(tmp_path / "bronze"))
     assert [r.date for r in b.collect()] == ["0042"] and filters.by_datestring(b, "2024-13").count() == 0
+
+
+def test_decode_parses_a_text_once(spark):
+    raw = spark.createDataFrame([], "path string, rel_path string, channel string, date string, depth int, value string")
+    plan = src.decode(raw.repartition(2))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("from_json") == 1 and "RLIKE(value" not in plan
+
+
+def test_decoded_files_as_a_row_per_message(spark, tmp_path):
+    """The same tables as from whole files, and the verdict on what stands around the array."""
+    bad, ok = "not a json array", "ok"
+    texts = [("[]", ok), (' \n[{"user":"a","text":null},{"user":"b"}]\r\n ', ok), ("", bad), ("[", bad), ("]", bad), ("x[]", bad), ("[]x", bad), ("{}", bad),
+             ("][", bad), ("[1]", "invalid json"), ('[{"a":"]"}', bad), ('[{"a":"["}]', ok), ("[null]", "non-object element"), ("[{},null]", "non-object element"),
+             ("[]\u2028", "invalid json"), ("\u2028[]", bad), ("[]]", "invalid json"), ("[{}]{}]", "invalid json"), (None, "hidden name")]
+    raw = spark.createDataFrame([(f"p{i}", f"r{i}", "c", f"d{i % 3}", i % 2, v) for i, (v, _) in enumerate(texts)],
+                                "path string, rel_path string, channel string, date string, depth int, value string")
+    whole = src.decode_files(raw)
+    rows = src.element_rows(src.decode(raw))
+    rows.write.parquet(str(tmp_path / "rows"))
+    assert rows.count() == len(texts) + 1
+    for a, b in zip(whole, src.element_tables(spark.read.schema(rows.schema).parquet(str(tmp_path / "rows")))):
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {r.path: r.status for r in whole[0].collect()} == {f"p{i}": want for i, (_, want) in enumerate(texts)}
+    assert whole[1].count() == 3

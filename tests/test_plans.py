@@ -1,6 +1,8 @@
 """Physical-plan properties: pushdown/pruning at the scan, one row shuffle for
 cleaning + grouping, and the join paths beyond the broadcast size checks."""
 
+import re
+
 from threadloom.operators import authors, conversations
 from threadloom.operators import sessionize as sz
 from threadloom.sources import tables
@@ -63,3 +65,34 @@ def test_latest_file_decodes_its_files_once(spark):
     from __spark_entry__ import queries
     plan = queries()["latest_file"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "parquet" in plan and "from_json" not in plan and "collect_list" not in plan
+
+
+def test_day_files_read_the_events_once(spark):
+    """Both files of a day come from one scan; path rules are worked out per file, not per event."""
+    from threadloom.plans import catalogue_export as ce
+    m = tables.event_messages(spark, SF001)
+    copies = ("/", None, None), ("/sub/", lambda event_id: event_id % 2 == 0, ce._broken())
+    plan = ce._day_files(m, *copies)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [event_id") == 1 and plan.count("Aggregate [") == 1
+    assert "UrlCodec" in plan and "UrlCodec" not in plan[plan.index("Aggregate ["):]
+
+
+def test_day_files_of_odd_rows(spark):
+    """Null ids are in no copy with a part, a day without even ids has no second file, days without a name have none."""
+    from threadloom.plans import catalogue_export as ce
+    rows = [(3, "a", "2024-01-01"), (2, "a", "2024-01-01"), (2, "a", "2024-01-01"), (None, "a", "2024-01-01"), (5, "b", "2024-01-03"),
+            (None, "c", "2024-01-01"), (4, "d", "2024-01-03"), (6, None, "2024-01-01"), (8, "e", None)]
+    m = spark.createDataFrame([(e, 1_500_000, c, d, "u", None, "x", False) for e, c, d in rows],
+                              "event_id long, ts_us long, channel string, date string, user string, thread_ts string, text string, is_system boolean")
+    got = ce._day_files(m, ("/", None, None), ("/sub/", lambda event_id: event_id % 2 == 0, ce._broken())).collect()
+    ids = {r.rel_path: (re.findall(r'\{(?:"event_id":(\d+),)?', r.value), r.value.endswith("]]")) for r in got}
+    assert len(got) == 6 and ids == {
+        "a/2024-01-01.json": (["", "2", "2", "3"], False), "a/sub/2024-01-01.json": (["2", "2"], False), "b/2024-01-03.json": (["5"], False),
+        "c/2024-01-01.json": ([""], False), "d/2024-01-03.json": (["4"], False), "d/sub/2024-01-03.json": (["4"], True)}
+
+
+def test_latest_file_writes_a_row_per_message(spark):
+    """No pass reads rows that hold whole files (their batches do not fit at size); few losing files are not shuffled for."""
+    from __spark_entry__ import queries
+    plan = queries()["latest_file"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array<map" not in plan and "explode" not in plan and "best" not in plan

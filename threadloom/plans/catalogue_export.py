@@ -23,18 +23,34 @@ def _day() -> F.Column:
     return F.substring("date", 9, 2).cast("int")
 
 
-def _day_files(m: DataFrame, folder: str, breaks: F.Column | None) -> DataFrame:
-    """One JSON text per channel and day, messages in event order, as the reader
-    gets it; ``breaks`` turns a file's text into something undecodable."""
+def _day_files(m: DataFrame, *copies: tuple[str, F.Column | None, F.Column | None]) -> DataFrame:
+    """JSON texts per channel and day, messages in event order, as the reader
+    gets them; a file for each copy ``(folder, part, breaks)`` that has messages.
+    ``part`` tells by a message's ``event_id`` whether it is in that copy (None:
+    all are); ``breaks`` turns a file's text into something undecodable.
+
+    ``m`` is read once for all copies.  Its rows go to their day's task before
+    they are collected: a partial list would be built, sorted and sent again.
+    """
     sec = F.floor(F.col("ts_us") / 1_000_000)
     ts = F.concat(sec.cast("string"), F.lit("."), F.lpad((F.col("ts_us") - sec * 1_000_000).cast("string"), 6, "0"))
     one = F.struct("event_id", "user", ts.alias("ts"), "thread_ts", "text",
                    F.when(F.col("is_system"), F.lit("note")).alias("subtype"))
-    day = m.groupBy("channel", "date").agg(F.sort_array(F.collect_list(one)).alias("_all"))
-    value = F.to_json("_all")
-    if breaks is not None:
-        value = F.when(breaks, F.concat(value, F.lit("]"))).otherwise(value)
-    path = F.concat(F.lit(f"file:{ROOT}/"), F.col("channel"), F.lit(folder), F.col("date"), F.lit(".json"))
+    day = (m.select("channel", "date", one.alias("_one")).repartition("channel", "date")
+           .groupBy("channel", "date").agg(F.sort_array(F.collect_list("_one")).alias("_all")))
+    # the folder is a row's, not the day's: what follows is then worked out per file, not pushed down to the events
+    day = day.select("*", F.explode(F.array(*[F.lit(folder) for folder, _, _ in copies])).alias("_folder"))
+    msgs = value = F.lit(None)
+    for folder, part, _ in copies:
+        own = F.col("_all") if part is None else F.filter("_all", lambda x: part(x["event_id"]))
+        msgs = F.when(F.col("_folder") == folder, own).otherwise(msgs)
+    day = day.withColumn("_all", msgs).filter(F.size("_all") > 0).withColumn("value", F.to_json("_all"))
+    broken = F.lit(False)
+    for folder, _, breaks in copies:
+        if breaks is not None:
+            broken = F.when(F.col("_folder") == folder, breaks).otherwise(broken)
+    value = F.when(broken, F.concat("value", F.lit("]"))).otherwise(F.col("value"))
+    path = F.concat(F.lit(f"file:{ROOT}/"), F.col("channel"), F.col("_folder"), F.col("date"), F.lit(".json"))
     raw = day.select(path.alias("path"), value.alias("value"))
     return export._eligible(export._path_columns(raw, ROOT, "path"))
 
@@ -52,7 +68,7 @@ f AS (SELECT *, row_number() OVER (PARTITION BY channel, date ORDER BY event_id)
 SELECT channel, date, CAST(pos AS INTEGER) AS pos, "user", thread_ts, text, ts_num, is_system AS has_subtype
 FROM f WHERE NOT broken""")
 def q_decode_files(spark: SparkSession, sf: str) -> DataFrame:
-    _, messages, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), "/", _broken()))
+    _, messages, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), ("/", None, _broken())))
     return messages.select("channel", "date", "pos", "user", "thread_ts", "text", "ts_num", "has_subtype")
 
 
@@ -60,7 +76,7 @@ def q_decode_files(spark: SparkSession, sf: str) -> DataFrame:
 SELECT channel, count(DISTINCT date) AS n_files, count(DISTINCT CASE WHEN broken THEN date END) AS n_failed,
        CAST(count(*) FILTER (WHERE NOT broken) AS BIGINT) AS n_messages FROM f GROUP BY channel""")
 def q_file_report(spark: SparkSession, sf: str) -> DataFrame:
-    files, _, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), "/", _broken()))
+    files, _, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), ("/", None, _broken())))
     return export.file_report(files)
 
 
@@ -72,10 +88,11 @@ FROM w WHERE NOT sub OR event_id % 2 = 0 GROUP BY ALL""")
 def q_latest_file(spark: SparkSession, sf: str) -> DataFrame:
     """The even events of a day come again in a deeper file, broken on some days."""
     m = tables.event_messages(spark, sf)
-    raw = _day_files(m, "/", None).unionByName(_day_files(m.where("event_id % 2 = 0"), "/sub/", _broken()))
-    # decoded once: four passes read it (messages, both sides of the losing files, the files' names)
-    files, messages, _ = export.decoded_tables(cut_lineage(export.decode(raw)))
-    kept = messages.join(export.losing_files(files), "path", "left_anti")
+    raw = _day_files(m, ("/", None, None), ("/sub/", lambda event_id: event_id % 2 == 0, _broken()))
+    # decoded once, into a row per message: four passes read it (messages, both sides of the losing files, the files' names)
+    files, messages, _ = export.element_tables(cut_lineage(export.element_rows(export.decode(raw))))
+    # written, so that their size is known: few go to every task, instead of every file's messages going through a shuffle
+    kept = messages.join(cut_lineage(export.losing_files(files)), "path", "left_anti")
     counts = kept.groupBy("path", "channel", "date").agg(F.count(F.lit(1)).alias("n_messages"))
     return counts.join(files.select("path", "rel_path"), "path").select("channel", "date", "rel_path", "n_messages")
 
@@ -94,7 +111,7 @@ def q_path_columns(spark: SparkSession, sf: str) -> DataFrame:
 @register("where_field", _FILES_SQL + """
 SELECT channel, count(*) AS n FROM f WHERE NOT broken AND event_id % 3 = 0 GROUP BY channel""")
 def q_where_field(spark: SparkSession, sf: str) -> DataFrame:
-    _, messages, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), "/", _broken()))
+    _, messages, _ = export.decode_files(_day_files(tables.event_messages(spark, sf), ("/", None, _broken())))
     got = filters.where(messages, F.col("fields")["event_id"].cast("long") % 3 == 0)
     return got.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
 

@@ -100,11 +100,12 @@ def _json_array_file(spark: SparkSession, path: str) -> DataFrame:
 def strict_array(value: str, schema: str) -> Column:
     """The column's one JSON array, or null: strict quotes, and nothing but white
     space around the array.  The text is parsed as a member of an object whose
-    last member, a hash of the text, must still be reached."""
+    last member, a hash of the text, must still be reached.  The result is looked
+    at inside a filter of one element: named twice, it would be parsed twice."""
     mark = F.xxhash64(value)
     inside = F.concat(F.lit('{"a":'), F.col(value), F.lit(',"z":'), mark.cast("string"), F.lit("}"))
     parsed = F.from_json(inside, f"a {schema}, z long", {"allowSingleQuotes": "false"})
-    return F.when(parsed["z"] == mark, parsed["a"])
+    return F.get(F.filter(F.array(parsed), lambda p: p["z"] == mark), 0)["a"]
 
 
 def _required(value: str, schema: str, name: str) -> Column:
@@ -183,9 +184,11 @@ def read_export(spark: SparkSession, root: str, decoded_path: str | None = None,
     large = large_files(spark, root, large_bytes) if large_bytes is not None else []
     decoded = decode(read_files(spark, root, large))
     if decoded_path is not None:
-        decoded.write.mode("overwrite").parquet(decoded_path)
-        decoded = spark.read.schema(decoded.schema).parquet(decoded_path)
-    tables = decoded_tables(decoded)
+        rows = element_rows(decoded)
+        rows.write.mode("overwrite").parquet(decoded_path)
+        tables = element_tables(spark.read.schema(rows.schema).parquet(decoded_path))
+    else:
+        tables = decoded_tables(decoded)
     if large:
         from threadloom.sources.large import read_in_pieces
         more = read_in_pieces(spark, large, qualified_root(spark, root), decoded_path and f"{decoded_path}-pieces")
@@ -197,11 +200,14 @@ def read_export(spark: SparkSession, root: str, decoded_path: str | None = None,
 
 def decode(raw: DataFrame) -> DataFrame:
     """S4 on rows ``(path, rel_path, channel, date, depth, value)``: the decoded
-    array, or the reason for quarantine."""
+    array, or the reason for quarantine.  Only what stands before the first ``[``
+    and after the last ``]`` meets a pattern, not the whole text."""
+    value = F.col("value")
+    opens = value.contains("[") & F.substring_index("value", "[", 1).rlike("^" + JSON_WS + "\\z")
+    closes = value.contains("]") & F.substring_index("value", "]", -1).rlike("^" + JSON_WS + "$")
     reason = (F.when(F.col("value").isNull(), F.lit("hidden name"))
                .when(~F.is_valid_utf8("value"), F.lit("not utf-8"))
-               .when(~F.col("value").rlike("^" + JSON_WS + "\\[") | ~F.col("value").rlike("\\]" + JSON_WS + "$"),
-                     F.lit("not a json array"))
+               .when(~opens | ~closes, F.lit("not a json array"))
                .when(F.col("_arr").isNull(), F.lit("invalid json"))
                .when(F.exists("_arr", lambda m: m.isNull()), F.lit("non-object element")))
     got = raw.withColumn("_arr", strict_array("value", MESSAGE_SCHEMA)).withColumn("reason", reason)
@@ -225,6 +231,24 @@ def decoded_tables(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     return files, message_rows(ex), quarantine
 
 
+def element_rows(decoded: DataFrame) -> DataFrame:
+    """Decoded files as rows to be written: a row per message, and one for a
+    file without any.  (A row per file would be read back in batches of
+    thousands of whole files.)"""
+    return decoded.select("path", "rel_path", "channel", "date", "depth", "reason", F.coalesce(F.size("arr"), F.lit(0)).alias("n_messages"),
+                          F.posexplode_outer("arr").alias("pos", "m"))
+
+
+def element_tables(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables of :func:`decoded_tables` from written :func:`element_rows`."""
+    first = rows.filter(F.coalesce("pos", F.lit(0)) == 0)  # one row of each file
+    quarantine = first.filter(F.col("reason").isNotNull()).select("path", "channel", "date", "reason")
+    files = first.select("path", "rel_path", "channel", "date", "depth",
+                         F.coalesce("reason", F.lit("ok")).alias("status"), "n_messages")
+    messages = rows.filter(F.col("pos").isNotNull()).select("channel", "date", "path", "depth", "pos", "m")
+    return files, message_rows(messages), quarantine
+
+
 def message_rows(elements: DataFrame) -> DataFrame:
     """Messages from ``(channel, date, path, depth, pos, m)``, ``m`` an element's map."""
     m = F.col("m")
