@@ -93,6 +93,41 @@ def test_query_on_the_smallest_table(spark):
     assert sorted(map(tuple, QUERIES["op11_alignment"](spark, sf).collect())) == want
 
 
+def test_tasks_hold_few_slices_and_few_links(spark, monkeypatch):
+    """A written file holds FILE_SLICES slices at most, and links take no numbers of their own all at once."""
+    import glob
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from threadloom.llm.store import Scratch
+    rng = random.Random(4)
+    texts = [t * 3 for t in texts_of(rng, 200)] + ["x" * 3000, "", None]
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 800)
+    monkeypatch.setattr(alignment, "PART_FRAGMENTS", 7, raising=False)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    with Scratch(spark, "test") as scratch:
+        got = sorted(map(tuple, alignment.align(df, A, B, scratch=scratch).collect()))
+        path = scratch.path("coded").removeprefix("file://")
+        slices = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{path}/*.parquet")]
+    assert got == sorted((i, *r[:-1]) for i, r in enumerate(brute(texts)))
+    assert sum(slices) > 20 and max(slices) <= 4
+
+    who = alignment.Aligner(A.text, B.content)
+    words = pa.array([" ".join("".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(40_000)), "x" * 3000], pa.large_string())
+    c = who.code(words)
+    g = who.align(c)
+    tracemalloc.start()
+    whole = who.pairs(c, g)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    links = int((g.n_a * g.n_b).sum())
+    assert links > 300_000 and most < 8 * 8 * links, (most, links)
+    monkeypatch.setattr(alignment, "PART_LINKS", 50, raising=False)
+    assert all(x.tolist() == y.tolist() for x, y in zip(whole, who.pairs(c, g)))
+
+
 def test_tree_sum(spark, monkeypatch):
     from threadloom.llm.store import Scratch
     monkeypatch.setattr(alignment, "FAN_IN", 3)

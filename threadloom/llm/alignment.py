@@ -35,8 +35,10 @@ from threadloom.llm.store import Scratch
 MEMO_FRAGMENTS = 150_000
 #: Bytes of texts aligned at once, and of written groups hashed at once.
 SLICE_BYTES, WRITTEN_BYTES = 3 << 20, 4 << 20
-#: Links of a group that are written out.
-LINKS_AT_ONCE = 256
+#: Links of a group that are written out; links, and fragments of texts, held in numbers at once.
+LINKS_AT_ONCE, PART_LINKS, PART_FRAGMENTS = 256, 1 << 17, 1 << 16
+#: Slices of a written file, which a task takes up as a whole.
+FILE_SLICES = 4
 #: Pairs of a shard of the hash, on average.
 SHARD_PAIRS = 4096
 #: Entries of a piece of a count vector; vectors summed by one task.
@@ -131,7 +133,6 @@ class Aligner:
         self.length_of = [np.array([len(t) for t in x], np.int64) for x in (a_bytes, b_bytes)]
         ids = range(max(len(a_bytes), len(b_bytes)))
         self.ids = len(ids)
-        self.kind = np.dtype("<u2") if self.ids <= 1 << 16 else np.dtype("<u4")
         self.written = pa.array([f"{mark}{i}".encode() for mark in ",;|" for i in ids], pa.large_binary())
         self.memo: dict[str, tuple[bytes, bytes]] = {}
 
@@ -209,22 +210,35 @@ class Aligner:
     def pairs(self, c: Coded, g: Groups) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each fragment the distinct pair keys and how often each is linked,
         and the n+1 offsets of the fragments."""
+        first = np.searchsorted(g.fragment, np.arange(len(c) + 1))  # group of each fragment
+        ends = np.append(0, np.cumsum(np.minimum(g.n_a * g.n_b, LINKS_AT_ONCE + 1)))[first]
+        parts, lo = [], 0
+        while lo < len(c):  # whole fragments, about PART_LINKS of their links at once
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PART_LINKS, "right")) - 1)
+            keys, times, n = self._pairs(c, g, lo, first[lo], first[hi])
+            parts.append((keys, times, np.bincount(n, minlength=hi - lo)))
+            lo = hi
+        key, times, n = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 3
+        return key, times, np.append(0, np.cumsum(n))
+
+    def _pairs(self, c: Coded, g: Groups, base: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, times and fragment (from ``base`` on) of the pairs in the groups ``lo`` to ``hi``."""
         span = self.ids * self.width
-        links = g.n_a * g.n_b
-        few = np.flatnonzero(links <= LINKS_AT_ONCE)
-        n = links[few]
+        links = g.n_a[lo:hi] * g.n_b[lo:hi]
+        few = lo + np.flatnonzero(links <= LINKS_AT_ONCE)
+        n = links[few - lo]
         group = np.repeat(few, n)
         nth = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
         right = g.n_b[group]
         key = c.a[g.start_a[group] + nth // right] * self.width + c.b[g.start_b[group] + nth % right]
-        codes, times = np.unique(g.fragment[group] * span + key, return_counts=True)
-        for k in np.flatnonzero(links > LINKS_AT_ONCE):  # all links of a long group at once would be quadratic
+        codes, times = np.unique((g.fragment[group] - base) * span + key, return_counts=True)
+        for k in lo + np.flatnonzero(links > LINKS_AT_ONCE):  # all links of a long group at once would be quadratic
             a, m = np.unique(c.a[g.start_a[k]:g.start_a[k] + g.n_a[k]], return_counts=True)
             b, n = np.unique(c.b[g.start_b[k]:g.start_b[k] + g.n_b[k]], return_counts=True)
-            more = (a[:, None] * self.width + b[None, :]).ravel() + g.fragment[k] * span
+            more = (a[:, None] * self.width + b[None, :]).ravel() + (g.fragment[k] - base) * span
             codes, back = np.unique(np.concatenate([codes, more]), return_inverse=True)
             times = np.bincount(back, np.concatenate([times, np.outer(m, n).ravel()])).astype(np.int64)
-        return codes % span, times, np.searchsorted(codes // span, np.arange(len(c) + 1))
+        return codes % span, times, codes // span
 
     def write(self, c: Coded, g: Groups) -> tuple[np.ndarray, np.ndarray]:
         """Each fragment's groups as ``;a1,a2|b1;a3|b2``: bytes and n+1 offsets."""
@@ -294,12 +308,11 @@ def _encode(files):
                 new = np.setdiff1d(keys, seen, assume_unique=True)
                 seen = np.union1d(seen, new)
                 ids = rows.column(rows.schema.get_field_index("doc_id")).to_pylist()
-                stored = [c.a.astype(who.kind), np.diff(c.a_off).astype("<u4"), c.b.astype(who.kind),
-                          np.diff(c.b_off).astype("<u4"), c.at.astype("<u4"), c.first.astype("<i8")]
+                stored = [_narrow(x) for x in (c.a, np.diff(c.a_off), c.b, np.diff(c.b_off), c.at, c.first)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([nth], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                     *(pa.array([x.tobytes()], pa.binary()) for x in stored),
-                     pa.array([new.tolist()], pa.list_(pa.int64()))],
+                     *(pa.array([x], pa.binary()) for x in stored),
+                     pa.ListArray.from_arrays([0, len(new)], pa.array(new, pa.int64()))],
                     ["slice", "doc_ids", "a", "a_n", "b", "b_n", "at", "first", "new_keys"])
                 nth += 1
     return run
@@ -307,13 +320,13 @@ def _encode(files):
 
 def _slices(files, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Coded, Aligner]]:
     who = aligner(files)
+    who.memo.clear()  # nothing is encoded any more
     for batch in batches:
         for k in range(batch.num_rows):
             r = batch.slice(k, 1).to_pylist()[0]
-            n = [np.append(0, np.cumsum(np.frombuffer(r[x], "<u4"), dtype=np.int64)) for x in ("a_n", "b_n")]
-            ids = [np.frombuffer(r[x], who.kind).astype(np.int64) for x in ("a", "b")]
-            yield r, Coded(ids[0], n[0], ids[1], n[1], np.frombuffer(r["at"], "<u4").astype(np.int64),
-                           np.frombuffer(r["first"], "<i8")), who
+            x = {c: _wide(r.pop(c)) for c in ("a", "a_n", "b", "b_n", "at", "first")}
+            n = [np.append(0, np.cumsum(x[c])) for c in ("a_n", "b_n")]
+            yield r, Coded(x["a"], n[0], x["b"], n[1], x["at"], x["first"]), who
 
 
 def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +355,7 @@ def _count(files, index):
     """Slices -> the task's dense count vector, in pieces: documents holding each pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: PairIndex = index.value
-        vector = np.zeros(len(held), np.int64)
+        vector = np.zeros(len(held), np.uint32)
         for _, c, who in _slices(files, batches):
             keys, _, off = who.pairs(c, who.align(c))
             distinct, where = np.unique(keys, return_inverse=True)
@@ -350,12 +363,16 @@ def _count(files, index):
             text = np.repeat(np.arange(len(c.first) - 1), np.diff(c.first))
             once = ascending(text * max(1, len(c)) + c.at)  # each fragment once a text
             text, part = once // max(1, len(c)), once % max(1, len(c))
-            n = np.diff(off)[part]
-            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            pair = place[np.repeat(off[:-1][part], n) + nth]
-            text = np.repeat(text, n)[pair >= 0]
-            pair = ascending(text * max(1, len(held)) + pair[pair >= 0]) % max(1, len(held))  # each pair once a text
-            np.add.at(vector, pair, 1)
+            lo = 0
+            while lo < len(text):  # whole texts, about PART_FRAGMENTS of their fragments at once
+                hi = int(np.searchsorted(text, text[min(lo + PART_FRAGMENTS, len(text)) - 1], "right"))
+                n = np.diff(off)[part[lo:hi]]
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                pair = place[np.repeat(off[part[lo:hi]], n) + nth]
+                of = np.repeat(text[lo:hi], n)[pair >= 0]
+                pair = ascending(of * max(1, len(held)) + pair[pair >= 0]) % max(1, len(held))  # each pair once a text
+                np.add.at(vector, pair, 1)
+                lo = hi
         task = TaskContext.get().partitionId()
         for chunk in range(-(-len(vector) // CHUNK)):
             piece = vector[chunk * CHUNK:(chunk + 1) * CHUNK]
@@ -475,7 +492,7 @@ def align(docs: DataFrame, a: TokenizerFile, b: PieceModel, full: bool = False,
     scratch = scratch or Scratch(spark, "alignment")
     files = spark.sparkContext.broadcast((a.text, b.content))  # two files, fixed size
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    coded = scratch.keep(texts.mapInArrow(_encode(files), _CODED), "coded")
+    coded = scratch.keep(texts.mapInArrow(_encode(files), _CODED), "coded", maxRecordsPerFile=FILE_SLICES)
     pairs = coded.select(F.explode("new_keys").alias("key")).distinct()
     pairs = scratch.keep(pairs.mapInArrow(_with_hash, "key long, h long"), "pairs")
     n_pairs = pairs.count()
@@ -502,7 +519,7 @@ def align(docs: DataFrame, a: TokenizerFile, b: PieceModel, full: bool = False,
     for index, counts in counted:
         held = index.value
         own = _vector_of(counts, len(held))
-        flags = spark.sparkContext.broadcast((own, own == best[held.keys // width]))
+        flags = spark.sparkContext.broadcast((own.astype(np.min_scalar_type(int(own.max(initial=0)))), own == best[held.keys // width]))
         rows = coded.mapInArrow(_look_up(files, index, flags, full), _ROWS + (", groups string" if full else ""))
         out = rows if out is None else out.union(rows)
     if len(counted) > 1:  # a row's partial sums meet again by its place

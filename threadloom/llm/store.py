@@ -39,8 +39,8 @@ class Scratch:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def keep(self, df: DataFrame, table: str, codec: str = "zstd") -> DataFrame:
-        df.write.option("compression", codec).parquet(self.path(table))
+    def keep(self, df: DataFrame, table: str, codec: str = "zstd", **options) -> DataFrame:
+        df.write.options(compression=codec, **options).parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def _delete(self, name: str) -> None:
